@@ -1,0 +1 @@
+"""Kept empty on purpose: the engine is batch only, by date partition."""
