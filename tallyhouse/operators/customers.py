@@ -141,8 +141,10 @@ def clv_snapshot_summary(snapshot: DataFrame) -> DataFrame:
 def _count_by_label(mart: DataFrame, column: str, labels: tuple[str, ...]) -> DataFrame:
     """Rows per label in one pass, zero for labels that do not occur."""
     counts = mart.agg(*[F.count_if(F.col(column) == label).alias(label) for label in labels])
-    listed = F.array(*[F.struct(F.lit(label), F.col(label)) for label in labels])
-    return counts.select(F.inline(listed).alias(column, "customer_count"))
+    listed = F.array(
+        *[F.struct(F.lit(label).alias(column), F.col(label).alias("customer_count")) for label in labels]
+    )
+    return counts.select(F.inline(listed))
 
 
 def clv_tier_counts(snapshot: DataFrame) -> DataFrame:
