@@ -18,6 +18,7 @@ from tallyhouse.functions.measures import (
     total,
     true_count,
 )
+from tallyhouse.operators.grouping import with_distinct_counts
 
 # Order of the measure columns in both daily marts.
 DAILY_MEASURES = (
@@ -42,18 +43,36 @@ DAILY_MEASURES = (
     "orders_with_invalid_line_keys",
 )
 
+# Order of the measure columns in both item marts.
+ITEM_MEASURES = (
+    "order_count",
+    "restaurant_count",
+    "line_item_count",
+    "total_item_quantity",
+    "avg_item_price",
+    "min_item_price",
+    "max_item_price",
+    "gross_item_revenue",
+    "option_revenue",
+    "discount_amount",
+    "net_revenue",
+    "option_row_count",
+    "line_items_with_options",
+    "line_items_with_discount",
+    "customer_count",
+    "avg_net_revenue_per_line",
+    "avg_net_revenue_per_unit",
+    "option_attach_rate",
+    "discount_attach_rate",
+)
+
 
 def _sales_by(orders: DataFrame, keys: Sequence[str]) -> DataFrame:
-    counts = [
-        # order_id is unique in the order fact, so counting it is counting
-        # distinct orders, without the row expansion of another distinct.
+    counted = {"customer_count": "user_id", "restaurant_count": "restaurant_id"}
+    counted = {alias: name for alias, name in counted.items() if name not in keys}
+    measures = [
+        # order_id is unique in the order fact: counting it is counting distinct orders.
         F.count("order_id").alias("order_count"),
-        distinct("user_id", "customer_count"),
-    ]
-    if "restaurant_id" not in keys:
-        counts.append(distinct("restaurant_id", "restaurant_count"))
-    measured = orders.groupBy(*keys).agg(
-        *counts,
         total("line_item_count"),
         total("distinct_line_item_count"),
         total("total_item_quantity"),
@@ -66,8 +85,8 @@ def _sales_by(orders: DataFrame, keys: Sequence[str]) -> DataFrame:
         true_count("has_discount", "orders_with_discount"),
         true_count("has_user_id", "orders_with_user_id"),
         true_count(~F.col("all_line_keys_valid"), "orders_with_invalid_line_keys"),
-    )
-    rated = measured.select(
+    ]
+    rated = with_distinct_counts(orders, keys, counted, measures).select(
         "*",
         per("net_revenue", "order_count", "avg_order_value"),
         per("total_item_quantity", "order_count", "avg_items_per_order"),
@@ -162,11 +181,13 @@ def restaurant_daily_sales_summary(mart: DataFrame) -> DataFrame:
 
 
 def _items_by(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
-    counts = [distinct("order_id", "order_count")]
-    if "restaurant_id" not in keys:
-        counts.append(distinct("restaurant_id", "restaurant_count"))
-    measured = lines.groupBy(*keys).agg(
-        *counts,
+    counted = {
+        "order_count": "order_id",
+        "restaurant_count": "restaurant_id",
+        "customer_count": "user_id",
+    }
+    counted = {alias: name for alias, name in counted.items() if name not in keys}
+    measures = [
         rows("line_item_count"),
         total("item_quantity", "total_item_quantity"),
         F.avg("item_price").cast(MONEY).alias("avg_item_price"),
@@ -179,15 +200,15 @@ def _items_by(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
         total("option_row_count"),
         true_count("has_options", "line_items_with_options"),
         true_count("has_discount", "line_items_with_discount"),
-        distinct("user_id", "customer_count"),
-    )
-    return measured.select(
+    ]
+    rated = with_distinct_counts(lines, keys, counted, measures).select(
         "*",
         per("net_revenue", "line_item_count", "avg_net_revenue_per_line"),
         per("net_revenue", "total_item_quantity", "avg_net_revenue_per_unit"),
         share("line_items_with_options", "line_item_count", "option_attach_rate"),
         share("line_items_with_discount", "line_item_count", "discount_attach_rate"),
     )
+    return rated.select(*keys, *[name for name in ITEM_MEASURES if name in rated.columns])
 
 
 def item_sales(lines: DataFrame) -> DataFrame:
@@ -235,15 +256,30 @@ def top_restaurant_item(mart: DataFrame) -> DataFrame:
 
 
 OPTION_GROUP = ("option_group_name", "option_name")
+OPTION_MEASURES = (
+    "option_row_count",
+    "order_count",
+    "line_item_count",
+    "total_option_quantity",
+    "avg_option_price",
+    "min_option_price",
+    "max_option_price",
+    "option_revenue",
+    "discount_amount",
+    "discount_row_count",
+    "valid_option_key_row_count",
+    "avg_option_revenue_per_row",
+    "avg_option_revenue_per_unit",
+    "discount_row_rate",
+    "valid_option_key_rate",
+)
 
 
 def option_sales(options: DataFrame) -> DataFrame:
     """Option performance from all cleaned option rows, orphans included."""
     keyed = options.withColumn("order_line_key", F.concat_ws("||", "order_id", "lineitem_id"))
-    measured = keyed.groupBy(*OPTION_GROUP).agg(
+    measures = [
         rows("option_row_count"),
-        distinct("order_id", "order_count"),
-        distinct("order_line_key", "line_item_count"),
         total("option_quantity", "total_option_quantity"),
         F.avg("option_price").cast(MONEY).alias("avg_option_price"),
         F.min("option_price").cast(MONEY).alias("min_option_price"),
@@ -252,14 +288,16 @@ def option_sales(options: DataFrame) -> DataFrame:
         money_sum("discount_amount"),
         true_count("is_discount", "discount_row_count"),
         true_count("is_valid_option_key", "valid_option_key_row_count"),
-    )
-    return measured.select(
+    ]
+    counted = {"order_count": "order_id", "line_item_count": "order_line_key"}
+    rated = with_distinct_counts(keyed, OPTION_GROUP, counted, measures).select(
         "*",
         per("option_revenue", "option_row_count", "avg_option_revenue_per_row"),
         per("option_revenue", "total_option_quantity", "avg_option_revenue_per_unit"),
         share("discount_row_count", "option_row_count", "discount_row_rate"),
         share("valid_option_key_row_count", "option_row_count", "valid_option_key_rate"),
     )
+    return rated.select(*OPTION_GROUP, *OPTION_MEASURES)
 
 
 def option_sales_summary(mart: DataFrame) -> DataFrame:

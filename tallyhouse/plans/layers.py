@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,19 +97,27 @@ class LayeredRun:
         return self.publish(dataset, staged)
 
 
+def _together(*steps: Callable[[], None]) -> None:
+    """Run steps at once; the first error is raised when all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 def run_layers(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
     root: str,
     ingest_date: str | None = None,
 ) -> LayeredRun:
-    """Run everything in dependency order; the first failed gate stops the run.
+    """Run everything in dependency order; a failed gate stops what depends on it.
 
     The date is settled once, so a run across midnight stays one run.
     """
     configure(spark)
     run = LayeredRun(spark, root, ingest_date or today())
-    for name in SOURCES:
+
+    def clean_source(name: str) -> None:
         landed = land_raw(sources[name], base_path(root, name), run.ingest_date)
         log.info("landed %s: %d rows", name, landed)
         raw = run.open(name)
@@ -115,52 +125,59 @@ def run_layers(
         run.check(checks.row_count_gate(f"{name}_clean", raw, clean))
         run.publish(f"{name}_clean", clean)
 
+    # Datasets that do not depend on each other are submitted together, which
+    # keeps the cluster busy while one of them is down to its last tasks.
+    _together(*[partial(clean_source, name) for name in SOURCES])
     items, options, dates = (run[f"{name}_clean"] for name in SOURCES)
+
     line_options = stage(gold.options_by_lineitem(options), "options_by_lineitem")
     lines = run.build(
         "fact_order_line",
         gold.fact_order_line(items, line_options),
         lambda mart: checks.line_grain_gate(items, line_options, mart),
     )
-    orders = run.build(
-        "fact_order", gold.fact_order(lines), lambda mart: checks.order_grain_gate(lines, mart)
-    )
-    daily_clv = run.build(
-        "customer_daily_clv",
-        customers.customer_daily_clv(orders),
-        lambda mart: checks.customer_daily_clv_gate(orders, mart),
-    )
-    snapshot = run.build(
-        "customer_clv_snapshot",
-        customers.customer_clv_snapshot(daily_clv),
-        lambda mart: checks.customer_clv_snapshot_gate(daily_clv, mart),
-    )
-    run.build(
-        "customer_rfm",
-        customers.customer_rfm(snapshot),
-        lambda mart: checks.customer_rfm_gate(snapshot, mart),
-    )
-    run.build(
-        "daily_sales",
-        sales.daily_sales(orders, dates),
-        lambda mart: checks.daily_sales_gate(orders, dates, mart),
-    )
-    run.build(
-        "restaurant_daily_sales",
-        sales.restaurant_daily_sales(orders, dates),
-        lambda mart: checks.restaurant_daily_sales_gate(orders, dates, mart),
-    )
-    run.build(
-        "item_sales", sales.item_sales(lines), lambda mart: checks.item_sales_gate(lines, mart)
-    )
-    run.build(
-        "restaurant_item_sales",
-        sales.restaurant_item_sales(lines),
-        lambda mart: checks.restaurant_item_sales_gate(lines, mart),
-    )
-    run.build(
-        "option_sales",
-        sales.option_sales(options),
-        lambda mart: checks.option_sales_gate(options, mart),
-    )
+
+    def item_mart() -> None:
+        mart = sales.item_sales(lines)
+        run.build("item_sales", mart, partial(checks.item_sales_gate, lines))
+
+    def restaurant_item_mart() -> None:
+        mart = sales.restaurant_item_sales(lines)
+        run.build("restaurant_item_sales", mart, partial(checks.restaurant_item_sales_gate, lines))
+
+    def option_mart() -> None:
+        mart = sales.option_sales(options)
+        run.build("option_sales", mart, partial(checks.option_sales_gate, options))
+
+    def order_marts() -> None:
+        orders = gold.fact_order(lines)
+        orders = run.build("fact_order", orders, partial(checks.order_grain_gate, lines))
+        _together(
+            partial(customer_marts, orders),
+            partial(daily_mart, orders),
+            partial(restaurant_daily_mart, orders),
+        )
+
+    def daily_mart(orders: DataFrame) -> None:
+        mart = sales.daily_sales(orders, dates)
+        run.build("daily_sales", mart, partial(checks.daily_sales_gate, orders, dates))
+
+    def restaurant_daily_mart(orders: DataFrame) -> None:
+        mart = sales.restaurant_daily_sales(orders, dates)
+        gate = partial(checks.restaurant_daily_sales_gate, orders, dates)
+        run.build("restaurant_daily_sales", mart, gate)
+
+    def customer_marts(orders: DataFrame) -> None:
+        daily = customers.customer_daily_clv(orders)
+        daily = run.build(
+            "customer_daily_clv", daily, partial(checks.customer_daily_clv_gate, orders)
+        )
+        snapshot = customers.customer_clv_snapshot(daily)
+        snapshot = run.build(
+            "customer_clv_snapshot", snapshot, partial(checks.customer_clv_snapshot_gate, daily)
+        )
+        rfm = customers.customer_rfm(snapshot)
+        run.build("customer_rfm", rfm, partial(checks.customer_rfm_gate, snapshot))
+
+    _together(order_marts, item_mart, restaurant_item_mart, option_mart)
     return run
