@@ -5,7 +5,9 @@ Run as a script: python -m tests.support.compare <folder> [query ...]
 
 from __future__ import annotations
 
+import os
 import sys
+import tempfile
 import time
 from datetime import datetime
 from decimal import Decimal
@@ -19,15 +21,15 @@ from tallyhouse.plans.queries import QUERIES
 from tallyhouse.session import build_session
 
 
-def test_session(**options: str) -> SparkSession:
+def local_session(**options: str) -> SparkSession:
     settings = {
         "spark__ui__enabled": "false",
         "spark__sql__shuffle__partitions": "8",
         "spark__driver__memory": "8g",
-        "spark__sql__warehouse__dir": "/tmp/tallyhouse-warehouse",
+        "spark__sql__warehouse__dir": tempfile.mkdtemp(prefix="tallyhouse-warehouse-"),
+        "spark__checkpoint__dir": tempfile.mkdtemp(prefix="tallyhouse-scratch-"),
+        "spark__ui__showConsoleProgress": "false",
     }
-    import os
-
     os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
     spark = build_session("tallyhouse-tests", **{"spark__master": "local[8]"} | settings | options)
     spark.sparkContext.setLogLevel("ERROR")
@@ -69,7 +71,7 @@ def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: s
 
 
 def main(folder: str, *names: str) -> int:
-    spark, connection, failed = test_session(), connect(folder), 0
+    spark, connection, failed = local_session(), connect(folder), 0
     for name in names or QUERIES:
         start = time.time()
         try:
