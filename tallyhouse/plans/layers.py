@@ -18,7 +18,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators import checks, customers, gold, sales, silver
-from tallyhouse.session import configure
+from tallyhouse.session import configure, size_shuffles
 from tallyhouse.sources.layers import land_raw, read_layer, write_layer
 from tallyhouse.sources.scratch import stage
 
@@ -89,10 +89,19 @@ class LayeredRun:
         return self.open(dataset)
 
     def build(
-        self, dataset: str, df: DataFrame, gate: Callable[[DataFrame], DataFrame]
+        self,
+        dataset: str,
+        df: DataFrame,
+        gate: Callable[[DataFrame], DataFrame],
+        *,
+        is_written: bool = False,
     ) -> DataFrame:
-        """Compute once into scratch, check there, then publish."""
-        staged = stage(df, dataset)
+        """Compute once into scratch, check there, then publish.
+
+        ``is_written`` marks a frame that only projects a written table already:
+        the gate reads the few columns it needs, and no other copy is made.
+        """
+        staged = df if is_written else stage(df, dataset)
         self.check(gate(staged))
         return self.publish(dataset, staged)
 
@@ -116,10 +125,11 @@ def run_layers(
     """
     configure(spark)
     run = LayeredRun(spark, root, ingest_date or today())
+    landed: dict[str, int] = {}
 
     def clean_source(name: str) -> None:
-        landed = land_raw(sources[name], base_path(root, name), run.ingest_date)
-        log.info("landed %s: %d rows", name, landed)
+        landed[name] = land_raw(sources[name], base_path(root, name), run.ingest_date)
+        log.info("landed %s: %d rows", name, landed[name])
         raw = run.open(name)
         clean = _CLEANERS[name](raw)
         run.check(checks.row_count_gate(f"{name}_clean", raw, clean))
@@ -129,6 +139,7 @@ def run_layers(
     # keeps the cluster busy while one of them is down to its last tasks.
     _together(*[partial(clean_source, name) for name in SOURCES])
     items, options, dates = (run[f"{name}_clean"] for name in SOURCES)
+    size_shuffles(spark, max(landed.values()))
 
     line_options = stage(gold.options_by_lineitem(options), "options_by_lineitem")
     lines = run.build(
@@ -169,15 +180,15 @@ def run_layers(
 
     def customer_marts(orders: DataFrame) -> None:
         daily = customers.customer_daily_clv(orders)
-        daily = run.build(
-            "customer_daily_clv", daily, partial(checks.customer_daily_clv_gate, orders)
-        )
+        # Quartile labels are projections over rows staged for ranking.
+        gate = partial(checks.customer_daily_clv_gate, orders)
+        daily = run.build("customer_daily_clv", daily, gate, is_written=True)
         snapshot = customers.customer_clv_snapshot(daily)
-        snapshot = run.build(
-            "customer_clv_snapshot", snapshot, partial(checks.customer_clv_snapshot_gate, daily)
-        )
+        gate = partial(checks.customer_clv_snapshot_gate, daily)
+        snapshot = run.build("customer_clv_snapshot", snapshot, gate, is_written=True)
         rfm = customers.customer_rfm(snapshot)
-        run.build("customer_rfm", rfm, partial(checks.customer_rfm_gate, snapshot))
+        gate = partial(checks.customer_rfm_gate, snapshot)
+        run.build("customer_rfm", rfm, gate, is_written=True)
 
     _together(order_marts, item_mart, restaurant_item_mart, option_mart)
     return run

@@ -30,6 +30,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Rows one shuffle task should get: some hundred megabytes of order lines.
+ROWS_PER_PARTITION = 2_000_000
+MOST_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, row_count: int) -> int:
+    """Raise the number of shuffle partitions to suit a row count; never lower it.
+
+    Adaptive execution merges partitions that turn out small, but it cannot cut
+    partitions that are evenly too large, so the number must be high enough.
+    """
+    wanted = min(-(-row_count // ROWS_PER_PARTITION), MOST_PARTITIONS)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def build_session(app_name: str = "tallyhouse", **options: str) -> SparkSession:
     """Start a session; pass extra options with dots written as double underscores."""
     builder = SparkSession.builder.appName(app_name)

@@ -2,6 +2,7 @@ import pytest
 
 from tallyhouse.operators.checks import GateError
 from tallyhouse.plans.layers import LAYER_OF, MARTS, base_path, run_layers, table_paths, today
+from tallyhouse.session import size_shuffles
 from tallyhouse.sources.layers import read_layer
 from tests.support import samples
 
@@ -39,3 +40,14 @@ def test_a_failed_gate_publishes_nothing_of_that_dataset(spark, tmp_path):
 
 def test_the_run_date_is_the_utc_day():
     assert len(today()) == 10
+
+
+def test_shuffles_grow_with_the_data_and_never_shrink(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 10) == int(before)
+        assert size_shuffles(spark, 4_000_000_000) == 2_000
+        assert size_shuffles(spark, 10) == 2_000
+        assert size_shuffles(spark, 10**15) == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
