@@ -231,7 +231,7 @@ def _register(f: Frames, datasets: dict[str, DataFrame]) -> str:
         bases[name] = f"{root}/{name}"
         for date in (RUN_DATE, OTHER_DATE):
             write_layer(df, bases[name], date)
-    catalog.register_tables(f.spark, database, bases)
+    catalog.register_tables(f.spark, database, bases, location=f"{root}/database")
     return database
 
 

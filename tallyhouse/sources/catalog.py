@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.schemas import PARTITION
 
 
-def register_tables(spark: SparkSession, database: str, bases: Mapping[str, str]) -> None:
+def register_tables(
+    spark: SparkSession, database: str, bases: Mapping[str, str], location: str | None = None
+) -> None:
     """Expose layer folders as external partitioned tables and find their dates.
 
     A table registered before is replaced, which picks up schema changes; the
-    files stay where they are.
+    files stay where they are. ``location`` places the database itself elsewhere
+    than in the session's warehouse folder.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for name, base in bases.items():
         columns = [
             f"`{field.name}` {field.dataType.simpleString()}"
