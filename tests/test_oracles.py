@@ -10,7 +10,7 @@ import __spark_entry__ as entry_point
 from tests.support.compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = entry_point.QUERIES, entry_point.ORACLES
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
