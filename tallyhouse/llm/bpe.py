@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # What a worker remembers: words, and strings between blanks. A full memory is emptied,
@@ -215,3 +216,14 @@ def digest(df: DataFrame, ids: str = "ids", name: str = "ids_sha256") -> DataFra
         return pa.array([sha256(numbers[a:b].tobytes()).hexdigest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
 
     return _with_column(df, name, T.StringType(), ids, values)
+
+
+def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, encoded and decoded."""
+    coded = encode(docs.select("doc_id", "text"), tokenizer).select("doc_id", "ids")
+    return digest(decode(coded, tokenizer)).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids_sha256",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
