@@ -16,8 +16,8 @@ leave out its q - 1 most frequent words (prefix filter): a word that is frequent
 because a passage is, is then not joined at all.
 
 Groups. Equal sets are one node. Within a bucket all members are first compared with one
-hub; only members of still different components are then paired, so a large group of near
-copies costs about one comparison for each member and no pair of linked members is listed.
+hub. Members that are then still in different components are compared by their parity sketches,
+block by block, and only those within reach are verified, so no pair of linked members is listed.
 
 Null and empty texts and texts of separators only have no shingles and link with nothing.
 Rows without doc_id are counted but have no component and link with nothing. Repeated rows
@@ -43,6 +43,7 @@ from tallyhouse.sources.scratch import stage
 SHINGLE_WORDS = 5
 SEEDS = 4
 LEVELS = 128
+BLOCK = 4096  # members of a bucket that one task compares with as many others
 SKETCH_WORDS = 16  # of 64 bits: the parity sketch candidates are tested with
 _SEED = np.random.default_rng(7).integers(1, 1 << 63, SEEDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -271,31 +272,56 @@ def links(docs: DataFrame, described: DataFrame) -> DataFrame:
     labelled = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "key", "set_id", F.coalesce("label", "set_id").alias("label")
     )
+    rest = labelled.join(hubs, "key").where("set_id != a").select("key", "set_id", "label")
     open_keys = (
-        labelled.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low != high")
-        .select("key")
-    )
-    open_members = stage(labelled.join(open_keys, "key"), "open")
-    classes = open_members.select("key", "label").distinct()
-    across = (
-        classes.withColumnRenamed("label", "label_a")
-        .join(classes.withColumnRenamed("label", "label_b"), "key")
-        .where("label_a < label_b")
-    )
-    left = open_members.select("key", F.col("label").alias("label_a"), F.col("set_id").alias("x"))
-    right = open_members.select("key", F.col("label").alias("label_b"), F.col("set_id").alias("y"))
-    more = (
-        across.join(left, ["key", "label_a"])
-        .join(right, ["key", "label_b"])
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(spokes, ["a", "b"], "left_anti")
+        rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
     )
+    more = across(rest.join(open_keys, "key"), sets).join(spokes, ["a", "b"], "left_anti")
     return components(found.unionByName(stage(verified(more, sets), "links")))
 
 
+def across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of a bucket's members in different components whose parity sketches are near enough.
+
+    Members are numbered and taken in blocks, so a task compares at most BLOCK with BLOCK
+    sketches, and only pairs within reach leave it.
+    """
+    place = Window.partitionBy("key").orderBy("label", "set_id")
+    numbered = members.withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK))
+    blocks = numbered.groupBy("key").agg(F.max("block").alias("last"))
+    paired = (
+        numbered.join(blocks, "key")
+        .join(sets.select("set_id", "n_shingles", "sketch"), "set_id")
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
+        .select(
+            "key",
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            "block", "set_id", "label", "n_shingles", "sketch",
+        )
+    )
+    return paired.groupBy("key", "low", "high").applyInArrow(_near, "a binary, b binary").distinct()
+
+
+def _near(table: pa.Table) -> pa.Table:
+    ids, block = table.column("set_id").to_pylist(), table.column("block").to_numpy()
+    _, label = np.unique(np.array(table.column("label").to_pylist(), "S16"), return_inverse=True)
+    size = table.column("n_shingles").to_numpy()
+    sketch = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64)
+    most = np.bincount(label).argmax()  # members of the largest component are met from the other side
+    pairs: list[tuple[bytes, bytes]] = []
+    for i in np.flatnonzero(label != most).tolist():
+        other = label != label[i]
+        if block.min() != block.max():
+            other &= block != block[i]
+        flips = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+        total = size[other] + size[i]
+        near = (flips * 9 <= total) & (np.abs(size[other] - size[i]) * 9 <= total)
+        pairs += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in np.flatnonzero(other)[near].tolist()]
+    found = sorted(set(pairs))
+    return pa.table({"a": pa.array([p[0] for p in found], pa.binary()), "b": pa.array([p[1] for p in found], pa.binary())})
+
+
 def _tag_column():
     """The first six bytes of a set id as a little-endian number, as in `_tag`."""
     h = F.hex("set_id")
