@@ -10,7 +10,8 @@ are dealt into chunks by a hash, the distinct n-grams of a chunk and their count
 hash range into blocks (one row each), a group of all blocks of one range adds up the count
 table of that range and answers every block, and the answers are joined to the chunk they
 came from. So an n-gram moves once for each chunk it is in, however frequent it is. Chunks and
-ranges have a fixed size; their number grows with the corpus. N-grams are 64-bit hashes.
+ranges have a fixed size; their number grows with the corpus. N-grams are hashes of 48 bits
+beyond those of their range.
 
 Words are runs of ASCII letters, digits and characters beyond ASCII; letter case of A-Z is
 ignored. N-grams stay within a document. Null and empty texts have no words, score 0 and a
@@ -21,6 +22,8 @@ columns are ignored; an empty table gives an empty result. Rows without doc_id a
 from __future__ import annotations
 
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +34,8 @@ from tallyhouse.llm.words import ALNUM, ngrams, word_groups
 ORDER = 3
 BACKOFF = 0.4
 CHUNK_BYTES, RANGE_BYTES = 6_000_000, 3_000_000
-HASH_BYTES = 6  # of a hash, after the bits that its range has in common
+HASH_BITS = 48  # of a hash, after those that its range has in common
+_ZSTD = pa.Codec("zstd", 1)
 
 
 class Chunk:
@@ -63,31 +67,42 @@ def _ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]]).astype(np.int64)
 
 
-def _shorten(hashes: np.ndarray, number: int, ranges: int) -> bytes:
-    """The leading HASH_BYTES of the hashes' offset in their range."""
+def _shorten(hashes: np.ndarray, number: int, ranges: int) -> np.ndarray:
+    """The leading HASH_BITS of the hashes' offset in their range, still ascending."""
     start = np.uint64(int(number * (2.0**64 / ranges)))
-    spare = np.uint64(max(0, 64 - 8 * HASH_BYTES - (ranges.bit_length() - 1)))
-    cells = ((hashes - start) >> spare).astype("<u8").view(np.uint8).reshape(-1, 8)
-    return np.ascontiguousarray(cells[:, :HASH_BYTES]).tobytes()
+    spare = np.uint64(max(0, 64 - HASH_BITS - (ranges.bit_length() - 1)))
+    return (hashes - start) >> spare
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte of their digits, compressed."""
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    used = int(planes.any(axis=1).nonzero()[0].max(initial=-1)) + 1
+    return struct.pack("<QB", len(numbers), used) + _ZSTD.compress(np.ascontiguousarray(planes[:used]), asbytes=True)
 
 
-def _restored(data: bytes) -> np.ndarray:
-    cells = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
-    cells[:, :HASH_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, HASH_BYTES)
+def _unpack(data: bytes) -> np.ndarray:
+    count, used = struct.unpack_from("<QB", data)
+    cells = np.zeros((count, 8), np.uint8)
+    planes = np.frombuffer(_ZSTD.decompress(data[9:], count * used, asbytes=True), np.uint8)
+    cells[:, :used] = planes.reshape(used, count).T
     return cells.view("<u8").ravel()
 
 
 def _blocks(order: int, ranges: int):
     def run(table: pa.Table) -> pa.Table:
         chunk = Chunk(_texts(table), order)
-        cuts, counts = _ranges(chunk.hash, ranges), chunk.count.astype("<u4")
+        cuts = _ranges(chunk.hash, ranges)
         full = [n for n in range(ranges) if cuts[n + 1] > cuts[n]]
         return pa.table(
             {
                 "part": pa.array(full, pa.int32()),
                 "chunk": pa.array([table.column("chunk")[0].as_py()] * len(full), pa.int64()),
-                "hashes": pa.array([_shorten(chunk.hash[cuts[n] : cuts[n + 1]], n, ranges) for n in full], pa.binary()),
-                "counts": pa.array([counts[cuts[n] : cuts[n + 1]].tobytes() for n in full], pa.binary()),
+                "hashes": pa.array(
+                    [_pack(np.diff(_shorten(chunk.hash[cuts[n] : cuts[n + 1]], n, ranges), prepend=np.uint64(0))) for n in full],
+                    pa.binary(),
+                ),
+                "counts": pa.array([_pack(chunk.count[cuts[n] : cuts[n + 1]]) for n in full], pa.binary()),
             }
         )
 
@@ -100,12 +115,12 @@ def _texts(table: pa.Table) -> pa.Array:
 
 def _totals(table: pa.Table) -> pa.Table:
     """Add up one hash range's counts and answer every block with the totals of its n-grams."""
-    hashes = [_restored(h) for h in table.column("hashes").to_pylist()]
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()])
+    hashes = [np.cumsum(_unpack(h), dtype=np.uint64) for h in table.column("hashes").to_pylist()]
+    counts = np.concatenate([_unpack(c) for c in table.column("counts").to_pylist()])
     distinct, index = np.unique(np.concatenate(hashes), return_inverse=True)
     total = np.bincount(index, weights=counts, minlength=len(distinct)).astype("<u8")[index]
     cuts = np.cumsum([0, *map(len, hashes)])
-    answers = [total[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    answers = [_pack(total[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "totals": pa.array(answers, pa.binary())})
 
 
@@ -114,7 +129,7 @@ def _score(order: int, backoff: float):
         chunk = Chunk(_texts(docs), order)
         parts = answers.column("part").to_numpy()
         blocks = answers.column("totals").to_pylist()
-        total = np.frombuffer(b"".join(blocks[i] for i in np.argsort(parts)), "<u8").astype(np.int64)
+        total = np.concatenate([_unpack(blocks[i]) for i in np.argsort(parts)]).astype(np.int64)
         words, documents = len(chunk.doc), len(chunk.sizes)
         # others[k][i]: what other documents have of the n-gram of order k ending at word i
         others = [total[0] - chunk.sizes[chunk.doc]]
