@@ -21,8 +21,8 @@ from pyspark.sql.types import DateType, DecimalType, IntegralType, StringType
 
 # Characters resolved per pass: at most 17 ** 3 prefix counts per bucket end.
 STEP = 3
-# A prefix holding this few rows is read and sorted directly.
-DIRECT_ROWS = 10_000
+# Sorts after every character of a key.
+LAST = "~"
 
 
 def sort_key(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -95,28 +95,14 @@ def _narrow(keyed: DataFrame, searches: list[_Search], step: int) -> None:
                 search.prefix = longer
                 search.position -= before
                 search.row_count = count
+                if search.key is None and search.position == count:
+                    search.key = longer + LAST  # the bucket ends with the last row of this prefix
                 break
             before += count
 
 
-def _read_directly(keyed: DataFrame, searches: list[_Search]) -> None:
-    """Fetch the keys of searches that are down to a small number of rows."""
-    looked_up = None
-    for number, search in enumerate(searches):
-        one = (
-            keyed.where(F.col(search.ranking).startswith(search.prefix))
-            .select(F.lit(number).alias("search"), F.col(search.ranking).alias("key"))
-            .orderBy("key")
-            .offset(search.position - 1)
-            .limit(1)
-        )
-        looked_up = one if looked_up is None else looked_up.unionByName(one)
-    for row in looked_up.collect():
-        searches[row["search"]].key = row["key"]
-
-
 def _end_keys(
-    keyed: DataFrame, rankings: Sequence[str], buckets: int, step: int, direct_rows: int
+    keyed: DataFrame, rankings: Sequence[str], buckets: int, step: int
 ) -> dict[str, list[str]]:
     spans = keyed.agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -135,10 +121,8 @@ def _end_keys(
         for name in rankings
         for position in bucket_ends(row_count, buckets)
     ]
-    while open_searches := [s for s in searches if s.key is None and s.row_count > direct_rows]:
+    while open_searches := [s for s in searches if s.key is None]:
         _narrow(keyed, open_searches, step)
-    if small := [s for s in searches if s.key is None]:
-        _read_directly(keyed, small)
     return {name: [s.key for s in searches if s.ranking == name] for name in rankings}
 
 
@@ -148,7 +132,6 @@ def with_ntiles(
     buckets: int = 4,
     *,
     step: int = STEP,
-    direct_rows: int = DIRECT_ROWS,
 ) -> DataFrame:
     """Add one bucket column per ranking: ``{column: ranking columns}``.
 
@@ -159,7 +142,7 @@ def with_ntiles(
     """
     keys = {f"_key_{n}": sort_key(staged, columns) for n, columns in enumerate(rankings.values())}
     keyed = staged.select(*[key.alias(name) for name, key in keys.items()])
-    ends = _end_keys(keyed, list(keys), buckets, step, direct_rows)
+    ends = _end_keys(keyed, list(keys), buckets, step)
     labels = {}
     for column, (name, key) in zip(rankings, keys.items(), strict=True):
         label = F.lit(1)

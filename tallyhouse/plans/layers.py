@@ -18,7 +18,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators import checks, customers, gold, sales, silver
-from tallyhouse.session import configure, size_shuffles
+from tallyhouse.session import configure, sized_shuffles
 from tallyhouse.sources.layers import land_raw, read_layer, write_layer
 from tallyhouse.sources.scratch import stage
 
@@ -139,8 +139,12 @@ def run_layers(
     # keeps the cluster busy while one of them is down to its last tasks.
     _together(*[partial(clean_source, name) for name in SOURCES])
     items, options, dates = (run[f"{name}_clean"] for name in SOURCES)
-    size_shuffles(spark, max(landed.values()))
+    with sized_shuffles(spark, max(landed.values())):
+        _facts_and_marts(run, items, options, dates)
+    return run
+
 
+def _facts_and_marts(run: LayeredRun, items: DataFrame, options: DataFrame, dates: DataFrame) -> None:
     line_options = stage(gold.options_by_lineitem(options), "options_by_lineitem")
     lines = run.build(
         "fact_order_line",
@@ -191,4 +195,3 @@ def run_layers(
         run.build("customer_rfm", rfm, gate, is_written=True)
 
     _together(order_marts, item_mart, restaurant_item_mart, option_mart)
-    return run

@@ -441,6 +441,8 @@ QUERIES: dict[str, Query] = {
     "currency_distribution": _plain(
         lambda f: profile.currency_distribution(profile.ITEMS, f.raw_items)
     ),
+    "currency_values": _plain(lambda f: profile.value_distribution(f.raw_items, "currency")),
+    "loyalty_values": _plain(lambda f: profile.value_distribution(f.raw_items, "is_loyalty")),
     "loyalty_distribution": _plain(
         lambda f: profile.loyalty_distribution(profile.ITEMS, f.raw_items)
     ),

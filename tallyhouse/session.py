@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime settings that decide results or plan quality; all can be set on a live
@@ -32,20 +35,24 @@ def configure(spark: SparkSession) -> SparkSession:
 
 # Rows one shuffle task should get: some hundred megabytes of order lines.
 ROWS_PER_PARTITION = 2_000_000
-MOST_PARTITIONS = 100_000
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
-def size_shuffles(spark: SparkSession, row_count: int) -> int:
-    """Raise the number of shuffle partitions to suit a row count; never lower it.
+@contextmanager
+def sized_shuffles(spark: SparkSession, row_count: int) -> Iterator[int]:
+    """Within the block, at least as many shuffle partitions as a row count wants.
 
     Adaptive execution merges partitions that turn out small, but it cannot cut
-    partitions that are evenly too large, so the number must be high enough.
+    partitions that are evenly too large, so the number must be high enough. The
+    session's own number holds again afterwards.
     """
-    wanted = min(-(-row_count // ROWS_PER_PARTITION), MOST_PARTITIONS)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, current)
+    before = spark.conf.get(PARTITIONS)
+    count = max(-(-row_count // ROWS_PER_PARTITION), int(before))
+    spark.conf.set(PARTITIONS, str(count))
+    try:
+        yield count
+    finally:
+        spark.conf.set(PARTITIONS, before)
 
 
 def build_session(app_name: str = "tallyhouse", **options: str) -> SparkSession:

@@ -22,18 +22,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Deal out the rows of a table that has fewer splits than there are cores.
-
-    A small table in one row group would otherwise be processed by one task up to
-    the first shuffle. A large table has more splits than cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _spread(_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    return _table(spark, folder, "lineitem")
 
 
 def _line_id():
@@ -44,7 +34,7 @@ def _line_id():
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """One row per line item, with its order, part and customer."""
     lines = _lines(spark, folder)
-    orders = _spread(_table(spark, folder, "orders"), "o_orderkey")
+    orders = _table(spark, folder, "orders")
     parts = _table(spark, folder, "part")
     customers = _table(spark, folder, "customer")
     placed = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])

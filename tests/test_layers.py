@@ -2,7 +2,7 @@ import pytest
 
 from tallyhouse.operators.checks import GateError
 from tallyhouse.plans.layers import LAYER_OF, MARTS, base_path, run_layers, table_paths, today
-from tallyhouse.session import size_shuffles
+from tallyhouse.session import sized_shuffles
 from tallyhouse.sources.layers import read_layer
 from tests.support import samples
 
@@ -42,12 +42,10 @@ def test_the_run_date_is_the_utc_day():
     assert len(today()) == 10
 
 
-def test_shuffles_grow_with_the_data_and_never_shrink(spark):
+def test_shuffles_grow_with_the_data_within_a_run_only(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, 10) == int(before)
-        assert size_shuffles(spark, 4_000_000_000) == 2_000
-        assert size_shuffles(spark, 10) == 2_000
-        assert size_shuffles(spark, 10**15) == 100_000
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with sized_shuffles(spark, 10) as count:
+        assert count == int(before)
+    with sized_shuffles(spark, 10**15) as count:
+        assert count == 500_000_000 and spark.conf.get("spark.sql.shuffle.partitions") == str(count)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

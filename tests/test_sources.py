@@ -20,6 +20,14 @@ def test_writing_a_date_replaces_only_that_date(spark, tmp_path):
     assert spark.read.parquet(str(part)).columns == ["id"]
 
 
+def test_an_empty_frame_replaces_a_date_too(spark, tmp_path):
+    base = str(tmp_path / "layer")
+    assert land_raw(spark.range(0), base, "2023-01-01") == 0
+    assert land_raw(spark.range(10), base, "2023-01-02") == 10
+    assert land_raw(spark.range(10).where("id < 0"), base, "2023-01-02") == 0
+    assert read_layer(spark, base, "2023-01-02").columns == ["id"]
+
+
 def test_the_date_stays_text_and_prunes_the_scan(spark, tmp_path):
     base = str(tmp_path / "layer")
     for date in ("2023-01-01", "2023-01-02"):
