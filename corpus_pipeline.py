@@ -23,10 +23,9 @@ SCORE, REJECT, LANG, UNSURE = "__score", "__reject", "__lang", "__unsure"
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labelled ones, does not reject."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled"), "toxic")
-    learn = labels.where((remainder(F.col("labelled"), 5) != 0) & F.col("toxic").isNotNull())
-    known = docs.select("doc_id", "text").join(learn, F.col("doc_id") == F.col("labelled"))
-    rated = toxicity.rate(docs, toxicity.fit(known), names=(SCORE, REJECT))
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
+    rated = toxicity.rate(docs, model, names=(SCORE, REJECT))
     return rated.where(F.col(REJECT) == 0).select(*docs.columns)
 
 

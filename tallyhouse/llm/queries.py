@@ -44,11 +44,9 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(table(spark, sf_dir, "conversations"))
 
 
-def _labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    """Texts with labels, of the rows to learn from."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", label)
-    learn = labels.where((remainder(F.col("doc_id"), 5) != 0) & F.col(label).isNotNull())
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(learn, "doc_id")
+def _to_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the rows to learn from."""
+    return table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) != 0)
 
 
 def _held_out(modulus: int, rest: int):
@@ -57,8 +55,8 @@ def _held_out(modulus: int, rest: int):
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
-    model = quality.fit(_labelled(spark, sf_dir, "quality"))
-    rated = quality.rate(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = quality.rate(docs, quality.fit(docs, _to_learn(spark, sf_dir)))
     return rated.select("doc_id", _held_out(5, 0), "score", "predicted")
 
 
@@ -77,8 +75,8 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
-    model = toxicity.fit(_labelled(spark, sf_dir, "toxic"))
-    rated = toxicity.rate(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = toxicity.rate(docs, toxicity.fit(docs, _to_learn(spark, sf_dir)))
     return rated.select("doc_id", _held_out(5, 0), "score", "predicted")
 
 

@@ -15,17 +15,24 @@ def remainder(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string")) % modulus
 
 
-def bounded_sample(df: DataFrame, key: Column, most: int) -> DataFrame:
-    """About ``most`` rows, always the same ones, spread evenly over the keys.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, most: int, key: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, dict[int, int]]:
+    """``label, text`` of at most ``most`` labelled keys of each of the labels 0 and 1, and how many keys have each.
 
-    The rows kept are those whose key hash lies under a threshold, so nothing is sorted.
+    The keys with the smallest hashes are taken, always the same ones. They are at most
+    ``2 * most`` numbers, so they are broadcast, and no text is moved that is not in the sample.
     """
-    total = df.count()
-    share = min(1.0, most / max(1, total))
-    slot = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 40))
-    return df.where(slot < int(share * (1 << 40)))
-
-
-def even_parts(df: DataFrame) -> int:
-    """Shuffle partitions of the session, for repartitions that must not be merged."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
+    known = known.where("key is not null and label in (0, 1)")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    slot = F.pmod(F.xxhash64(F.lit(label), "key"), F.lit(1 << 40))
+    taken = None
+    for value, count in sorted(counts.items()):
+        share = int(min(1.0, 1.5 * most / count) * (1 << 40))  # leaves little for the top-k to sort
+        part = known.where((F.col("label") == value) & (slot < share)).orderBy(slot, "key").limit(most)
+        taken = part if taken is None else taken.unionByName(part)
+    if taken is None:
+        taken = known
+    texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text is not null")
+    return texts.join(F.broadcast(taken), "key").select("label", "text"), counts

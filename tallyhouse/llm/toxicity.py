@@ -37,6 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.tables import labelled_sample
+from tallyhouse.sources.scratch import stage
+
 SAMPLE_ROWS = 3_000
 LANDMARKS = 160
 ROUNDS = 3
@@ -231,18 +234,15 @@ def _spread_out(strings: list[bytes], most: int) -> list[bytes]:
     return [strings[i] for i in sorted(chosen)]
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", most: int = SAMPLE_ROWS) -> Model | None:
+def fit(
+    docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", most: int = SAMPLE_ROWS
+) -> Model | None:
     """A model from labelled rows (1 toxic, 0 clean); None unless there are both."""
-    known = labelled.select(
-        F.col(text).cast("string").alias("text"), F.col(label).cast("int").alias("label"), F.col(key).alias("key")
-    ).where("label in (0, 1) and text is not null")
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    sample, counts = labelled_sample(docs, labels, label, most, key, text)
     if len(counts) < 2:
         return None
-    slot = F.pmod(F.xxhash64(F.lit("toxicity"), "key"), F.lit(1 << 40))
-    limit = [int(min(1.0, most / counts[v]) * (1 << 40)) for v in (0, 1)]
-    sample = known.where(slot < F.when(F.col("label") == 1, limit[1]).otherwise(limit[0])).select("label", "text")
-    sample = sample.dropDuplicates(["label", "text"])  # a text that was copied counts once
+    # a text that was copied counts once; every round reads the sample, so it is written
+    sample = stage(sample.dropDuplicates(["label", "text"]), "toxicity-sample")
     seen = (
         sample.mapInArrow(_strings, "string binary, label int, kin long")
         .distinct()
