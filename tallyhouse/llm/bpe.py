@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 # What a worker remembers: words, and strings between blanks. A full memory is emptied,
 # which changes no result: frequent strings come back at once.
-REMEMBERED_WORDS = 400_000
-REMEMBERED_CHUNKS = 150_000
+REMEMBERED_WORDS = 150_000
+REMEMBERED_CHUNKS = 60_000
 TEXTS_PER_STEP = 250
 _GONE = -(1 << 62)
 # Blanks to str.split() that the tokenizer takes for characters.
