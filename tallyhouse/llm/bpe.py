@@ -183,47 +183,56 @@ def _with_column(df: DataFrame, name: str, kind: T.DataType, source: str, values
     return df.select(*kept).mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add the token ids of every text, as an array of integers."""
+def _encoded(column: pa.Array, tokenizer: str) -> pa.ListArray:
+    coder = codec(tokenizer)
+    coded = [coder.encode(t) for t in column.to_pylist()]
+    offsets = np.zeros(len(coded) + 1, np.int32)
+    np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
+    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(coded), "<i4")))
 
-    def values(column: pa.Array) -> pa.Array:
-        coder = codec(tokenizer)
-        coded = [coder.encode(t) for t in column.to_pylist()]
-        offsets = np.zeros(len(coded) + 1, np.int32)
-        np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
-        return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(coded), "<i4")))
 
-    return _with_column(df, ids, T.ArrayType(T.IntegerType()), text, values)
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    numbers, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    return (numbers[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True))
 
 
-def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Add the text that every list of ids stands for; a null list gives the empty text."""
+def _decoded(column: pa.ListArray, tokenizer: str) -> pa.Array:
+    coder = codec(tokenizer)
+    return pa.array([coder.decode(ids.tolist()) for ids in _lists(column)], pa.string())
 
-    def values(column: pa.ListArray) -> pa.Array:
-        coder = codec(tokenizer)
-        numbers, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-        texts = [coder.decode(numbers[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        return pa.array(texts, pa.string())
 
-    return _with_column(df, text, T.StringType(), ids, values)
+def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Add the token ids of every text, as an array of integers."""
+    return _with_column(df, ids, T.ArrayType(T.IntegerType()), text, lambda column: _encoded(column, tokenizer))
 
 
-def digest(df: DataFrame, ids: str = "ids", name: str = "ids_sha256") -> DataFrame:
-    """Add the SHA-256 of the ids as little-endian unsigned 32-bit numbers, in lower-case hex."""
+def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """Add the text that every list of ids stands for; a null list gives the empty text."""
+    return _with_column(df, text, T.StringType(), ids, lambda column: _decoded(column, tokenizer))
 
-    def values(column: pa.ListArray) -> pa.Array:
-        numbers, offsets = column.values.to_numpy().astype("<u4"), column.offsets.to_numpy()
-        return pa.array([sha256(numbers[a:b].tobytes()).hexdigest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
 
-    return _with_column(df, name, T.StringType(), ids, values)
+def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, encoded and decoded.
 
+    The steps of `encode` and `decode` in one pass, so that ids and decoded texts, several
+    times the size of the input, stay in the worker; ids count as little-endian unsigned
+    32-bit numbers, texts as UTF-8, digests are lower-case hex.
+    """
 
-def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, encoded and decoded."""
-    coded = encode(docs.select("doc_id", "text"), tokenizer).select("doc_id", "ids")
-    return digest(decode(coded, tokenizer)).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids_sha256",
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS_PER_STEP):
+                batch = whole.slice(at, TEXTS_PER_STEP)
+                ids = _encoded(batch.column("text"), tokenizer)
+                texts = _decoded(ids, tokenizer).to_pylist()
+                columns = [
+                    batch.column("doc_id"),
+                    pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64)),
+                    pa.array([sha256(i.astype("<u4").tobytes()).hexdigest() for i in _lists(ids)], pa.string()),
+                    pa.array([sha256(t.encode("utf-8")).hexdigest() for t in texts], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            pa.default_memory_pool().release_unused()
+
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -138,6 +138,7 @@ def word_groups(texts: pa.Array, letters: Alphabet) -> Iterator[Words]:
         begin = offsets[lo:hi][doc] if len(doc) else s
         yield Words(lo, hi, h, doc, s - begin, e - begin, first)
         lo = hi
+    pa.default_memory_pool().release_unused()  # workers live on: give back what the batch took
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
