@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.graph import components
+from tallyhouse.llm.tables import batches_of
 from tallyhouse.llm.words import BLANKS, Words, mix, ngrams, word_groups
 from tallyhouse.sources.scratch import stage
 
@@ -44,6 +45,7 @@ SHINGLE_WORDS = 5
 SEEDS = 4
 LEVELS = 128
 BLOCK = 4096  # members of a bucket that one task compares with as many others
+BATCH = 512  # texts, or pairs of sets, that a worker is given at once
 SKETCH_WORDS = 16  # of 64 bits: the parity sketch candidates are tested with
 _SEED = np.random.default_rng(7).integers(1, 1 << 63, SEEDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -331,8 +333,9 @@ def _tag_column():
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    described = stage(describe_sets(docs), "described")
-    labels = links(docs, described)
+    with batches_of(docs.sparkSession, BATCH):  # all Python steps end in a written table
+        described = stage(describe_sets(docs), "described")
+        labels = links(docs, described)
     lowest = (
         described.where("n_shingles > 0 and doc_id is not null")
         .groupBy("set_id")

@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within the block, at most so many rows in one Arrow batch; a batch is held whole by the JVM and by Python.
+
+    Works on what is written within the block. The session's own number holds again afterwards.
+    """
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo; null for a null key."""
     return F.crc32(key.cast("string")) % modulus
