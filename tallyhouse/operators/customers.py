@@ -203,19 +203,24 @@ def rfm_scores(snapshot: DataFrame) -> DataFrame:
     )
 
 
+# Segment, then lowest and highest recency, frequency and monetary score. The first that fits wins.
+SEGMENTS = (
+    ("champions", (4, 4), (4, 4), (4, 4)),
+    ("loyal_high_value", (3, 4), (3, 4), (3, 4)),
+    ("new_or_promising", (4, 4), (1, 2), (1, 4)),
+    ("at_risk_high_value", (1, 2), (3, 4), (3, 4)),
+    ("hibernating", (1, 2), (1, 2), (1, 4)),
+)
+OTHER_SEGMENT = "needs_attention"
+
+
 def _segment() -> Column:
-    """First rule that fits wins."""
-    r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
-    best = (r == 4) & (f == 4) & (m == 4)
-    strong = F.least(r, f, m) >= 3
-    return (
-        F.when(best, "champions")
-        .when(strong, "loyal_high_value")
-        .when((r == 4) & (f <= 2), "new_or_promising")
-        .when((r <= 2) & (F.least(f, m) >= 3), "at_risk_high_value")
-        .when(F.greatest(r, f) <= 2, "hibernating")
-        .otherwise("needs_attention")
-    )
+    scores = [F.col(name) for name in ("recency_score", "frequency_score", "monetary_score")]
+    segment = F.lit(OTHER_SEGMENT)
+    for name, *ranges in reversed(SEGMENTS):
+        fits = [score.between(*ends) for score, ends in zip(scores, ranges, strict=True)]
+        segment = F.when(fits[0] & fits[1] & fits[2], name).otherwise(segment)
+    return segment
 
 
 def customer_rfm(snapshot: DataFrame) -> DataFrame:

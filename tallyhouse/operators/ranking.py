@@ -150,3 +150,9 @@ def with_ntiles(
             label = label + (key > F.lit(end)).cast("int")
         labels[column] = label
     return staged.withColumns(labels)
+
+
+def top_rows(df: DataFrame, by: str | None, keys: Sequence[str], most: int | None = 1) -> DataFrame:
+    """Rows in falling order of a measure, the first ones only if a number is given; the keys settle ties."""
+    ordered = df.orderBy(*([F.col(by).desc()] if by else []), *keys)
+    return ordered if most is None else ordered.limit(most)

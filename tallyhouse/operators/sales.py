@@ -19,6 +19,7 @@ from tallyhouse.functions.measures import (
     true_count,
 )
 from tallyhouse.operators.grouping import with_distinct_counts
+from tallyhouse.operators.ranking import top_rows
 
 # Order of the measure columns in both daily marts.
 DAILY_MEASURES = (
@@ -240,19 +241,14 @@ def _group_summary(mart: DataFrame, keys: Sequence[str], *extra) -> DataFrame:
     )
 
 
-def _top(mart: DataFrame, measure: str, keys: Sequence[str], n: int = 1) -> DataFrame:
-    """Highest rows by a measure; the group keys settle ties."""
-    return mart.orderBy(F.col(measure).desc(), *keys).limit(n)
-
-
 def top_item(mart: DataFrame) -> DataFrame:
     keys = ["item_category", "item_name"]
-    return _top(mart, "net_revenue", keys).select(*keys, "net_revenue", "line_item_count")
+    return top_rows(mart, "net_revenue", keys).select(*keys, "net_revenue", "line_item_count")
 
 
 def top_restaurant_item(mart: DataFrame) -> DataFrame:
     keys = ["restaurant_id", "item_category", "item_name"]
-    return _top(mart, "net_revenue", keys).select(*keys, "net_revenue", "line_item_count")
+    return top_rows(mart, "net_revenue", keys).select(*keys, "net_revenue", "line_item_count")
 
 
 OPTION_GROUP = ("option_group_name", "option_name")
@@ -312,12 +308,12 @@ def option_sales_summary(mart: DataFrame) -> DataFrame:
 
 
 def top_option_by_revenue(mart: DataFrame) -> DataFrame:
-    return _top(mart, "option_revenue", OPTION_GROUP).select(
+    return top_rows(mart, "option_revenue", OPTION_GROUP).select(
         *OPTION_GROUP, "option_revenue", "total_option_quantity"
     )
 
 
 def top_option_by_quantity(mart: DataFrame) -> DataFrame:
-    return _top(mart, "total_option_quantity", OPTION_GROUP).select(
+    return top_rows(mart, "total_option_quantity", OPTION_GROUP).select(
         *OPTION_GROUP, "total_option_quantity", "option_revenue"
     )
