@@ -10,10 +10,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.casts import MONEY
 from tallyhouse.functions.measures import money_sum, rows
 from tallyhouse.operators.customers import customer_orders
 from tallyhouse.operators.gold import unmatched_option_lines
 from tallyhouse.operators.sales import OPTION_GROUP
+from tallyhouse.schemas import LINE_KEY
 
 log = logging.getLogger(__name__)
 
@@ -304,26 +306,31 @@ def reconcile_marts(layers: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def option_revenue_gap(
-    order_items: DataFrame, options: DataFrame, line_options: DataFrame, lines: DataFrame
-) -> DataFrame:
-    """Option revenue that no order line carries, and the orphans explaining it."""
-    orphans = unmatched_option_lines(order_items, line_options).agg(
-        F.struct(rows("lines"), money_sum("option_revenue", "revenue"))
-    )
-    attached = lines.agg(money_sum("option_revenue"))
-    totals = options.agg(money_sum("option_revenue", "total_option_revenue"))
-    gathered = totals.select(
-        "total_option_revenue",
-        attached.scalar().alias("attached_option_revenue"),
-        orphans.scalar().alias("orphans"),
-    )
-    return gathered.select(
+def option_revenue_gap(order_items: DataFrame, line_options: DataFrame) -> DataFrame:
+    """Option revenue that no order line carries, and the orphans explaining it.
+
+    One join of line sums with line counts gives all totals: a sum is attached
+    once for every line with its key, and not at all without one. A null key
+    matches nothing, as in the fact.
+    """
+    line_counts = order_items.groupBy(*LINE_KEY).agg(rows("line_count"))
+    joined = line_options.join(line_counts, list(LINE_KEY), "left")
+    revenue, is_orphan = F.col("option_revenue"), F.col("line_count").isNull()
+
+    def money(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast(MONEY)
+
+    return joined.agg(
+        money_sum("option_revenue", "total_option_revenue"),
+        money(revenue * F.col("line_count")).alias("attached_option_revenue"),
+        F.count_if(is_orphan).alias("unmatched_option_lines"),
+        money(F.when(is_orphan, revenue)).alias("unmatched_option_revenue"),
+    ).select(
         "total_option_revenue",
         "attached_option_revenue",
         (F.col("total_option_revenue") - F.col("attached_option_revenue"))
-        .cast("decimal(14,2)")
+        .cast(MONEY)
         .alias("option_revenue_gap"),
-        F.col("orphans.lines").alias("unmatched_option_lines"),
-        F.coalesce("orphans.revenue", F.lit(0).cast("decimal(14,2)")).alias("unmatched_option_revenue"),
+        "unmatched_option_lines",
+        "unmatched_option_revenue",
     )

@@ -41,7 +41,7 @@ def test_lines_with_no_one_and_many_options(spark):
         "discounts": (1, Decimal("-3.00"), Decimal("7.00"), True, True),
     }
     assert [row["lineitem_id"] for row in gold.unmatched_option_lines(items, line_options).collect()] == ["orphan"]
-    gap = one(checks.option_revenue_gap(items, options, line_options, lines))
+    gap = one(checks.option_revenue_gap(items, line_options))
     assert gap["option_revenue_gap"] == gap["unmatched_option_revenue"] == Decimal("24.00")
     assert gap["unmatched_option_lines"] == 1
 
