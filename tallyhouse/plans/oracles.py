@@ -64,22 +64,22 @@ STEPS: dict[str, str] = {}
 
 STEPS["raw_items"] = f"""
 select 'demo' as app_name,
-       'R' || cast(o_orderkey % 28 as varchar) as restaurant_id,
+       'R' || cast(l_orderkey % 28 as varchar) as restaurant_id,
        cast(o_orderdate as timestamp) as creation_time_utc,
-       cast(o_orderkey as varchar) as order_id,
-       case when o_orderkey % 11 <> 0 then cast(o_custkey as varchar) end as user_id,
-       case when o_orderkey % 3 = 0 then 'card-' || cast(o_custkey as varchar) end as printed_card_number,
-       case when o_orderkey % 13 <> 0 then c_mktsegment = 'BUILDING' end as is_loyalty,
-       'USD' as currency,
+       cast(l_orderkey as varchar) as order_id,
+       case when l_orderkey % 11 <> 0 then cast(o_custkey as varchar) end as user_id,
+       case when l_orderkey % 3 = 0 then 'card-' || cast(o_custkey as varchar) end as printed_card_number,
+       case when l_orderkey % 13 <> 0 then c_mktsegment = 'BUILDING' end as is_loyalty,
+       case when l_orderkey % 17 = 0 then 'EUR' else 'USD' end as currency,
        {LINE_ID} as lineitem_id,
        p_type as item_category,
        p_name as item_name,
        cast(p_retailprice as decimal(12,2)) as item_price,
        cast(l_quantity as integer) as item_quantity
 from lineitem
-join orders on l_orderkey = o_orderkey
-join part on l_partkey = p_partkey
-join customer on o_custkey = c_custkey
+left join orders on l_orderkey = o_orderkey
+left join part on l_partkey = p_partkey
+left join customer on o_custkey = c_custkey
 """
 
 STEPS["add_ons"] = f"""
@@ -115,7 +115,7 @@ select strftime(d, '%d-%m-%Y') as date_key,
        dayofweek(d) in (0, 6) as is_weekend,
        month(d) = 12 and day(d) = 25 as is_holiday,
        case when month(d) = 12 and day(d) = 25 then 'Christmas Day' end as holiday_name
-from (select distinct cast(o_orderdate as date) as d from orders where year(o_orderdate) = 1997)
+from (select distinct cast(o_orderdate as date) as d from orders) where d <> last_day(d)
 """
 
 STEPS["items"] = """

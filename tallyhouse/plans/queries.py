@@ -420,9 +420,7 @@ QUERIES: dict[str, Query] = {
     # gates and reconciliation
     "gate_report": _shared(_gate_report),
     "reconcile_marts": _shared(lambda f: checks.reconcile_marts(f.reconcilable())),
-    "option_revenue_gap": _shared(
-        lambda f: checks.option_revenue_gap(f.items, f.options, f.line_options, f.lines)
-    ),
+    "option_revenue_gap": _plain(lambda f: checks.option_revenue_gap(f.items, f.line_options)),
     # profiling
     "profile_summary": _per_file(profile.profile_summary),
     "profile_columns": _per_file(profile.profile_columns),

@@ -32,16 +32,16 @@ def _line_id():
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per line item, with its order, part and customer."""
+    """One row per line item, with its order, part and customer where they are known."""
     lines = _lines(spark, folder)
     orders = _table(spark, folder, "orders")
     parts = _table(spark, folder, "part")
     customers = _table(spark, folder, "customer")
-    placed = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
-    joined = lines.join(placed, lines["l_orderkey"] == placed["o_orderkey"]).join(
-        parts, lines["l_partkey"] == parts["p_partkey"]
+    placed = orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left")
+    joined = lines.join(placed, lines["l_orderkey"] == placed["o_orderkey"], "left").join(
+        parts, lines["l_partkey"] == parts["p_partkey"], "left"
     )
-    order_key, customer = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    order_key, customer = F.col("l_orderkey"), F.col("o_custkey").cast("string")
     return joined.select(
         F.lit("demo").alias("app_name"),
         F.concat(F.lit("R"), (order_key % 28).cast("string")).alias("restaurant_id"),
@@ -52,7 +52,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
             "printed_card_number"
         ),
         F.when(order_key % 13 != 0, F.col("c_mktsegment") == "BUILDING").alias("is_loyalty"),
-        F.lit("USD").alias("currency"),
+        F.when(order_key % 17 == 0, "EUR").otherwise("USD").alias("currency"),
         _line_id().alias("lineitem_id"),
         F.col("p_type").alias("item_category"),
         F.col("p_name").alias("item_name"),
@@ -101,13 +101,14 @@ def order_item_options(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def date_dim(spark: SparkSession, folder: str) -> DataFrame:
-    """Calendar of the order days of 1997, keyed by day-first text."""
+    """Calendar of all order days, keyed by day-first text.
+
+    The last day of each month is absent, so that sales meet days without an entry.
+    """
     orders = _table(spark, folder, "orders")
-    placed = F.col("o_orderdate")
-    in_year = orders.where((placed >= F.lit("1997-01-01").cast("timestamp_ntz"))
-                           & (placed < F.lit("1998-01-01").cast("timestamp_ntz")))
-    days = in_year.select(placed.cast("date").alias("day")).distinct()
     day = F.col("day")
+    every_day = orders.select(F.col("o_orderdate").cast("date").alias("day")).distinct()
+    days = every_day.where(day != F.last_day(day))
     christmas = (F.month(day) == 12) & (F.dayofmonth(day) == 25)
     return days.select(
         F.date_format(day, "dd-MM-yyyy").alias("date_key"),
