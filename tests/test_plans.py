@@ -76,3 +76,12 @@ def test_hot_groups_are_combined_before_they_are_moved(run):
 def test_orders_are_merged_by_line_before_by_order(run):
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(gold.fact_order(run["fact_order_line"])))
     assert [re.sub(r"#\d+", "", keys) for keys in exchanges] == ["order_id, 8", "order_id, lineitem_id, 8"]
+
+
+def test_profiles_read_each_file_once(run):
+    items = run["order_items"]
+    for report in (
+        profile.data_quality_report({profile.ITEMS: items}),
+        profile.profile_columns(profile.ITEMS, items),
+    ):
+        assert plan(report).count("FileScan parquet") == 1
