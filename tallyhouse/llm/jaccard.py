@@ -204,18 +204,23 @@ def describe_sets(docs: DataFrame) -> DataFrame:
 
 
 def shared_keys(docs: DataFrame) -> DataFrame:
-    """``key, tag`` of sketch words that different sets have in common.
+    """``key, tag`` of sketch words that different sets have in common, once each.
 
-    One exchange; neighbours in (key, tag) order show whether a key has another set.
+    One exchange. Copies of a set in several tasks repeat its rows, so a key's lowest and
+    highest tag show whether it has another set.
     """
     keys = _slim(docs).where("doc_id is not null and text is not null").mapInArrow(_emit, "key long, tag long")
     order = Window.partitionBy("key").orderBy("tag")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     near = keys.select(
-        "key", "tag", F.lag("tag").over(order).alias("before"), F.lead("tag").over(order).alias("after")
+        "key",
+        "tag",
+        F.lag("tag").over(order).alias("before"),
+        F.min("tag").over(whole).alias("low"),
+        F.max("tag").over(whole).alias("high"),
     )
     first = F.col("before").isNull() | (F.col("before") != F.col("tag"))
-    other = F.col("before").isNotNull() | (F.col("after").isNotNull() & (F.col("after") != F.col("tag")))
-    return near.where(first & other).select("key", "tag")
+    return near.where(first & (F.col("low") != F.col("high"))).select("key", "tag")
 
 
 def prefix_filtered(shared: DataFrame) -> DataFrame:

@@ -45,6 +45,20 @@ def test_jaccard_components(spark):
     assert jaccard.jaccard_components(frame(spark, [])).count() == 0
 
 
+def test_exact_copies_in_several_partitions_link_with_near_copies(spark):
+    rng = random.Random(8)
+    rows = []
+    for family in range(60):
+        base = [f"v{rng.randint(0, 5000)}" for _ in range(rng.choice([40, 90, 200]))]
+        near = [" ".join(base[:-1] + [f"end{family}_{n}"]) for n in range(1 + family % 2)]
+        rows += [" ".join(base)] * 3 + near[:1] * (1 + family % 3) + near[1:]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    docs = frame(spark, rows).repartition(8, "doc_id")
+    got = [tuple(r) for r in jaccard.jaccard_components(docs).collect()]
+    assert sorted(got) == sorted(brute.jaccard_components(rows))
+
+
 @pytest.mark.parametrize("level", range(2, 40))
 def test_more_parts_than_differences(level):
     parts, most = jaccard.level_parts(level)
