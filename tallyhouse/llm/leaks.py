@@ -2,10 +2,15 @@
 
 A mask is a fixed pattern of token positions, some of them ignored. Every position of a
 benchmark text and of a document is hashed under each mask; equal hashes put the two texts
-on one diagonal (document position less benchmark position). Around every diagonal with a
-hit the words are compared one by one, and the best stretch in which substituted words are
-tolerated is the overlap. A document is a leak of an item if an overlap has at least
-``min_words`` words (or the whole item, if it is shorter) of which ``min_match`` are equal.
+on one diagonal (document position less benchmark position). On every diagonal with a hit
+the words are compared one by one. An overlap is the longest stretch of at least ``min_words``
+words (or the whole item, if it is shorter) of which ``min_match`` are equal, then the longest in
+what is left beside it, and so on; unequal words at its ends are left out as far as it stays long
+enough. A document with an overlap is a leak of the item.
+
+The masks meet every such stretch for a ``min_match`` of 0.8 or more: one of 26 words or more holds
+a shorter one of at least 13, and every placing of the substitutions in 13 to 25 words, or in a whole
+item of 6 to 12, leaves a window of some mask untouched (tested by going through all of them).
 
 The benchmark is read in blocks of at most ``BLOCK_HASHES`` hashes (16 bytes each), so what
 a task holds has a fixed bound; a larger benchmark takes more passes over the documents, none
@@ -13,8 +18,8 @@ of which shuffles a text. Matching a window costs one look into a bit table, so
 windows cost what others do, and a task reports one row for each document and item.
 
 Words are runs of ASCII letters, digits and characters beyond ASCII; letter case of A-Z is
-ignored. Null and empty texts, on either side, leak nothing, and items shorter than the
-shortest mask match nothing. Documents and items without an id are left out. Repeated
+ignored. Null and empty texts, on either side, leak nothing, and items shorter than
+``LEAST_ITEM`` words match nothing. Documents and items without an id are left out. Repeated
 documents are reported alike, repeated items (same id and text) once. Very long documents
 are read whole. Extra columns are ignored; an empty table on either side gives no rows.
 """
@@ -31,7 +36,9 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.words import ALNUM, mix, word_groups
 
 # Which positions of a window count; each mask tolerates substitutions in other places.
-MASKS = ("111011011", "1101100110101", "11011000110011", "111111")
+MASKS = ("1101111", "1100010111", "11011000011", "1110111")
+SHORT_MASKS = ("10111", "111001")  # where fewer than SHORT words are enough
+SHORT, LEAST_ITEM = 13, 6
 MIN_WORDS, MIN_MATCH = 13, 0.8
 BLOCK_HASHES = 1 << 20
 BITS = 22
@@ -48,26 +55,42 @@ def mask_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(out)
 
 
-def best_stretch(equal: np.ndarray, min_match: float) -> tuple[int, int]:
-    """The stretch whose equal words most outweigh its unequal ones, at the wanted share."""
-    if not len(equal):
-        return 0, 0
-    # an equal word gains 1 - share, an unequal one costs share: positive sums hold the share
-    gain = np.concatenate([[0.0], np.cumsum(np.where(equal, 1 - min_match, -min_match) + 1e-9)])
-    low = np.minimum.accumulate(gain)
-    stop = int(np.argmax(gain - low))
-    start = int(np.flatnonzero(gain[: stop + 1] == low[stop])[-1])
-    return start, stop
+def stretches(equal: np.ndarray, need: int, min_match: float) -> list[tuple[int, int]]:
+    """Separate stretches of at least ``need`` words that hold the wanted share, longest first on each part."""
+    found, parts = [], [(0, len(equal))]
+    while parts:
+        begin, end = parts.pop()
+        if end - begin < need or need < 1:
+            continue
+        same = equal[begin:end]
+        # a stretch holds the share if the surplus of equal words does not fall along it
+        surplus = np.concatenate([[0.0], np.cumsum(same - min_match)])
+        low = np.minimum.accumulate(surplus)
+        start = np.searchsorted(-low, -surplus - 1e-9)
+        stop = int(np.argmax(np.arange(len(surplus)) - start))
+        start = int(start[stop])
+        if stop - start < need:
+            continue
+        while stop - start > need and not same[stop - 1]:
+            stop -= 1
+        while stop - start > need and not same[start]:
+            start += 1
+        found.append((begin + start, begin + stop))
+        parts += [(begin, begin + start), (begin + stop, end)]
+    return sorted(found)
 
 
 class Index:
     """Hashes of a block of benchmark texts, sorted, with a bit table in front."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
+    def __init__(self, items: list[tuple[int, np.ndarray]], min_words: int = MIN_WORDS):
         self.items = items
+        self.masks: set[str] = set()
         hashes, owners, places = [], [], []
         for number, (_, words) in enumerate(items):
-            for mask in MASKS:
+            masks = MASKS if min(min_words, len(words)) >= SHORT else SHORT_MASKS
+            self.masks.update(masks)
+            for mask in masks:
                 made = mask_hashes(words, mask)
                 hashes.append(made)
                 owners.append(np.full(len(made), number, np.int32))
@@ -82,7 +105,7 @@ class Index:
 
     def hits(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Window position, owner and owner's position of every hit."""
-        for mask in MASKS:
+        for mask in sorted(self.masks):
             made = mask_hashes(words, mask)
             maybe = np.flatnonzero(self.bits[(made >> np.uint64(64 - BITS)).astype(np.int64)])
             low = np.searchsorted(self.hash, made[maybe], side="left")
@@ -114,7 +137,7 @@ def blocks(words: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
     block, held = [], 0
     for row in words.toLocalIterator():
         hashes = np.frombuffer(row["words"], np.uint64)
-        if len(hashes) < min(map(len, MASKS)):
+        if len(hashes) < LEAST_ITEM:
             continue
         if block and held + len(hashes) * len(MASKS) > BLOCK_HASHES:
             yield block
@@ -143,9 +166,8 @@ def _scan(index: Index, min_words: int, min_match: float):
                         first, stop = int(group.first[d]), int(group.first[d + 1])
                         a, b = max(0, first - diagonal), min(len(words), stop - diagonal)
                         equal = group.hash[diagonal + a : diagonal + b] == words[a:b]
-                        start, end = best_stretch(equal, min_match)
-                        matched = int(equal[start:end].sum())
-                        if end - start >= min(min_words, len(words)) and matched >= min_match * (end - start):
+                        for start, end in stretches(equal, min(min_words, len(words)), min_match):
+                            matched = int(equal[start:end].sum())
                             found.append(
                                 (ids[group.lo + d].as_py(), item, matched, end - start, len(words),
                                  a + start, int(group.start[diagonal + a + start]), int(group.end[diagonal + a + end - 1]))
@@ -172,13 +194,13 @@ def overlaps(
     )
     out = None
     for block in blocks(item_words(benchmark)):
-        part = slim.mapInArrow(_scan(Index(block), min_words, min_match), SCHEMA)
+        part = slim.mapInArrow(_scan(Index(block, min_words), min_words, min_match), SCHEMA)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
-    """One row for each document and item: the longest overlap, and how much of the item it covers."""
+    """One row for each document and item: the overlap with most equal words, and how much of the item it covers."""
     longest = F.max(F.struct("matched_words", "overlap_words", "item_words", (-F.col("start_byte")).alias("before"), "end_byte"))
     best = overlaps(docs, benchmark, **limits).groupBy("doc_id", "item_id").agg(longest.alias("best"), F.count("*").alias("overlaps"))
     return best.select(

@@ -40,3 +40,12 @@ def jaccard_components(rows) -> list[tuple]:
         if doc is not None:
             low[root(i)] = min(doc, low.get(root(i), doc))
     return [(doc, len(sets[i]), None if doc is None else low[root(i)]) for i, (doc, _) in enumerate(rows)]
+
+
+def leaks(changed, min_words: int = 13) -> bool:
+    """Whether a stretch of min_words words (or the whole item) has four fifths unchanged."""
+    n = len(changed)
+    need = min(min_words, n)
+    return any(
+        5 * sum(not c for c in changed[a:b]) >= 4 * (b - a) for a in range(n) for b in range(a + need, n + 1)
+    )

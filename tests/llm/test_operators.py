@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -139,6 +140,47 @@ def test_leaks(spark):
     assert leaks.leaks(docs, bench.limit(0)).count() == 0 and leaks.leaks(docs.limit(0), bench).count() == 0
 
 
+def test_leaks_with_substitutions_in_every_place(spark):
+    docs, want = [], set()
+    items = {n: [f"i{n}x{j}" for j in range(n)] for n in (6, 8, 10, 12, 13, 15, 16, 26)}
+    for n, item in items.items():
+        for count in range(1, 4):
+            for places in combinations(range(n), count):
+                if n == 26 and not set(places) <= {12, 16, 20, 25, 0}:
+                    continue
+                doc = len(docs)
+                docs.append((doc, " ".join(["pad", *(f"z{j}" if j in places else w for j, w in enumerate(item)), "pad"])))
+                if brute.leaks([w not in docs[-1][1].split() for w in item]):
+                    want.add((doc, n))
+    bench = spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id long, text string")
+    rows = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == want
+
+
+@pytest.mark.parametrize("n", [*range(6, 26)])
+def test_masks_meet_every_stretch(n):
+    masks = [int(m, 2) for m in (leaks.MASKS if n >= leaks.SHORT else leaks.SHORT_MASKS)]
+    words = np.array([(1 << n) - 1 - sum(1 << p for p in places) for places in combinations(range(n), n // 5)])
+    met = np.zeros(len(words), bool)
+    for mask in masks:
+        for at in range(n - mask.bit_length() + 1):
+            met |= (words >> at) & mask == mask
+    assert met.all()
+
+
+def test_every_stretch_of_a_diagonal():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        equal = rng.random(rng.integers(1, 60)) < rng.choice([0.5, 0.7, 0.8, 0.9])
+        need = min(13, len(equal))
+        found = leaks.stretches(equal, need, 0.8)
+        assert bool(found) == brute.leaks(~equal)
+        assert all(b - a >= need and 5 * equal[a:b].sum() >= 4 * (b - a) for a, b in found)
+        assert all(b <= c for (_, b), (c, _) in zip(found, found[1:]))
+    both = np.array([True] * 20 + [False] * 20 + [True] * 15)
+    assert leaks.stretches(both, 13, 0.8) == [(0, 20), (40, 55)]
+
+
 def test_licenses(spark):
     apache = licenses.TEMPLATES["Apache-2.0"]
     docs = frame(spark, [(20, f"x y {apache}. z"), (21, apache.replace("Apache", "the Apache Software").upper()), (22, "Licensed to nobody"), *AWKWARD])
