@@ -2,7 +2,8 @@
 
 Each of ``CURVES`` curves projects the normalised vectors on a few random directions, shifts
 and scales the projections into a cube and sorts all vectors by Hilbert key, range-partitioned
-by Spark. A curve's order is cut into blocks; a query looks at every vector of the blocks that
+by Spark. Keys have twice ``BITS`` bits an axis, in two numbers, so that a crowd of nearly equal vectors
+is ordered within its cell; what still ties is ordered by a hash that differs between curves. A curve's order is cut into blocks; a query looks at every vector of the blocks that
 its window of ranks touches, so near vectors split by a cell border of one curve are met in
 another. The blocks' best are merged and ranked by the exact cosine of the original vectors.
 
@@ -29,13 +30,13 @@ from pyspark.sql import functions as F
 
 from tallyhouse.sources.scratch import stage
 
-CURVES, DIRECTIONS, BITS = 48, 8, 6
+CURVES, DIRECTIONS, BITS = 48, 8, 7
 WINDOW, GROWTH = 0.12, 0.75
 LEAST_BLOCK = 1024
 
 
-def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
-    """Position on the Hilbert curve of points with whole coordinates below 2 ** bits."""
+def hilbert_keys(cells: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Position on the Hilbert curve of points with whole coordinates below 2 ** bits: upper and lower half."""
     x = cells.astype(np.uint32).T.copy()
     dims = len(x)
     # Undo the curve's turns from the coarsest bit down, then take the Gray code of the rest.
@@ -52,11 +53,14 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     for bit in range(bits - 1, 0, -1):
         parity ^= np.where((x[-1] >> np.uint32(bit)) & 1, np.uint32((1 << bit) - 1), np.uint32(0))
     x ^= parity
-    key = np.zeros(x.shape[1], np.int64)
-    for bit in range(bits - 1, -1, -1):
-        for axis in range(dims):
-            key = key << 1 | (x[axis] >> np.uint32(bit) & 1).astype(np.int64)
-    return key
+    halves = []
+    for top, low in ((bits, bits // 2), (bits // 2, 0)):
+        key = np.zeros(x.shape[1], np.int64)
+        for bit in range(top - 1, low - 1, -1):
+            for axis in range(dims):
+                key = key << 1 | (x[axis] >> np.uint32(bit) & 1).astype(np.int64)
+        halves.append(key)
+    return halves[0], halves[1]
 
 
 def _curve(number: int, dims: int, directions: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,9 +81,10 @@ def _keys(curves: int, directions: int, bits: int):
                 axes, shift = _curve(number, x.shape[1], directions)
                 # projections of unit vectors spread like a normal law of deviation 1 / sqrt(dims)
                 even = 1 / (1 + np.exp(-1.702 * np.sqrt(x.shape[1]) * (unit @ axes)))
-                cells = np.minimum((even + shift) / 2 * (1 << bits), (1 << bits) - 1)
-                columns = [pa.array(np.full(len(ids), number, np.int32)), pa.array(hilbert_keys(cells, bits)), ids]
-                yield pa.RecordBatch.from_arrays(columns, names=["curve", "key", "point"])
+                cells = np.minimum((even + shift) / 2 * (1 << 2 * bits), (1 << 2 * bits) - 1)
+                key, fine = hilbert_keys(cells, 2 * bits)
+                columns = [pa.array(np.full(len(ids), number, np.int32)), pa.array(key), pa.array(fine), ids]
+                yield pa.RecordBatch.from_arrays(columns, names=["curve", "key", "fine", "point"])
 
     return run
 
@@ -145,9 +150,10 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 def ranks(keys: DataFrame) -> DataFrame:
     """``curve, point, rank``: places in each curve's order, from one range-partitioned sort."""
     parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = ["curve", "key", "fine", F.xxhash64("curve", "point"), "point"]
     ordered = (
-        keys.repartitionByRange(parts, "curve", "key", "point")
-        .sortWithinPartitions("curve", "key", "point")
+        keys.repartitionByRange(parts, *places)
+        .sortWithinPartitions(*places)
         .select("curve", "point", F.monotonically_increasing_id().alias("at"))
     )
     ordered = stage(ordered, "curves")
@@ -164,7 +170,7 @@ def ranks(keys: DataFrame) -> DataFrame:
 
 def nearest(
     vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector: str = "embedding",
-    curves: int = CURVES, window: float = WINDOW, growth: float = GROWTH,
+    curves: int = CURVES, window: float = WINDOW, growth: float = GROWTH, least_block: int = LEAST_BLOCK,
 ) -> DataFrame:
     """``query_id, rank, id, score``: up to k nearest other rows of every row where ``is_query`` holds.
 
@@ -187,8 +193,8 @@ def nearest(
     ).select(F.col("id").alias("query_id"), "point")
     count = points.count()
     reach = max(keep, ceil(window * count**growth))
-    size = max(LEAST_BLOCK, 2 * reach)
-    placed = stage(ranks(points.mapInArrow(_keys(curves, DIRECTIONS, BITS), "curve int, key long, point long")), "ranks")
+    size = max(least_block, 2 * reach)
+    placed = stage(ranks(points.mapInArrow(_keys(curves, DIRECTIONS, BITS), "curve int, key long, fine long, point long")), "ranks")
     members = placed.select("curve", F.floor(F.col("rank") / size).alias("block"), "point", F.lit(False).alias("asks"))
     asks = placed.join(asked.select("point").distinct(), "point").select(
         "curve",
