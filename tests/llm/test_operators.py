@@ -124,6 +124,19 @@ def test_nearest_neighbours_in_a_crowd_of_near_copies(spark):
     assert hits / 200 >= 0.9, hits / 200
 
 
+def test_nearest_neighbours_where_windows_select(spark):
+    x = np.random.default_rng(7).standard_normal((6000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, F.col("id") % 150 == 0, 5, curves=24, window=0.1, least_block=64).collect()
+    hits = 0
+    for q in range(0, 6000, 150):
+        score = x @ x[q]
+        score[q] = -9
+        hits += len(set(np.argsort(-score)[:5].tolist()) & {r["id"] for r in found if r["query_id"] == q})
+    assert hits / 200 >= 0.9, hits / 200
+
+
 def test_chat(spark):
     turns = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"),
              (4, 0, "user", None), (4, 0, "user", None), (None, 0, "user", "lost"), (5, None, "user", "lost"), (6, 0, None, "hi")]
