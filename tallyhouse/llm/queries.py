@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, chat, jaccard, langid, leaks, licenses, lm, neighbours, quality, toxicity
+from tallyhouse.llm import bpe, chat, codes, embdedup, jaccard, langid, leaks, licenses, lm, neighbours, quality, toxicity
 from tallyhouse.llm.tables import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,16 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_embdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate vectors of one label."""
+    return embdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors."""
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_bpe": op2_bpe,
@@ -101,6 +111,13 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_leaks": op10_leaks,
+    "op12_embdedup": op12_embdedup,
+    "op13_codes": op13_codes,
 }
 
-ORACLES: dict[str, str] = {"op3_lm": lm.ORACLE, "op4_chat": chat.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_lm": lm.ORACLE,
+    "op4_chat": chat.ORACLE,
+    "op12_embdedup": embdedup.ORACLE,
+    "op13_codes": codes.oracle(),
+}
