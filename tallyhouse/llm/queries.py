@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, chat, codes, embdedup, jaccard, langid, leaks, licenses, lm, neighbours, quality, toxicity
+from tallyhouse.llm import bpe, chat, codes, embdedup, jaccard, langid, leaks, licenses, lm, neighbours, quality, toxicity, trie
 from tallyhouse.llm.tables import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,11 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prefixes of the rebuilt conversations."""
+    return trie.shared_heads_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_embdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate vectors of one label."""
     return embdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -111,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_leaks": op10_leaks,
+    "op11_trie": op11_trie,
     "op12_embdedup": op12_embdedup,
     "op13_codes": op13_codes,
 }
@@ -118,6 +124,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_lm": lm.ORACLE,
     "op4_chat": chat.ORACLE,
+    "op11_trie": trie.ORACLE,
     "op12_embdedup": embdedup.ORACLE,
     "op13_codes": codes.oracle(),
 }
