@@ -19,6 +19,7 @@ import struct
 from collections.abc import Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
+from itertools import chain
 from unicodedata import normalize
 
 import numpy as np
@@ -28,10 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# What a worker remembers: words, and strings between blanks. A full memory is emptied,
-# which changes no result: frequent strings come back at once.
-REMEMBERED_WORDS = 150_000
-REMEMBERED_CHUNKS = 60_000
+# Words a worker remembers, with their ids and decoded text. A full memory keeps what was used
+# since it was half full, which changes no result.
+REMEMBERED_WORDS = 600_000
 TEXTS_PER_STEP = 250
 _GONE = -(1 << 62)
 # Blanks to str.split() that the tokenizer takes for characters.
@@ -62,6 +62,8 @@ class Codec:
         self.suffix = model["end_of_word_suffix"] or ""
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         self.pattern = regex.compile(split["pattern"]["Regex"])
+        ascii_only = split["pattern"]["Regex"].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
+        self.ascii_pattern = re.compile(ascii_only, re.ASCII)  # the same on plain ASCII, and faster
         self.blank = regex.compile(r"\p{White_Space}+")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
@@ -74,8 +76,6 @@ class Codec:
         self.inner = [self.vocab.get(c, -1) for c in characters]
         self.last = [self.vocab.get(c + self.suffix, -1) for c in characters]
         self.known = _Memory(self.word, REMEMBERED_WORDS)
-        # No word, accent or letter case reaches across a blank.
-        self.chunks = _Memory(self.words, REMEMBERED_CHUNKS)
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Apply merges to one word's symbols: lowest rank first, leftmost among equals."""
@@ -109,31 +109,37 @@ class Codec:
                     heappush(heap, rank << shift | h)
         return [s for s in symbols if s != _GONE]
 
-    def words(self, text: str) -> bytes:
-        """Ids of a text without special tokens, word by word."""
-        plain = text if text.isascii() else normalize("NFC", text).replace("\u03a3", "\u03c3")
-        return b"".join(map(self.known.__getitem__, self.pattern.findall(plain.lower())))
+    def words(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+        """The words of a text without special tokens, each as ids and decoded text."""
+        if _SEPARATORS.search(text):
+            text = self.blank.sub(" ", text)
+        elif text.isascii():
+            return map(self.known.__getitem__, self.ascii_pattern.findall(text.lower()))
+        plain = normalize("NFC", text).replace("\u03a3", "\u03c3")
+        return map(self.known.__getitem__, self.pattern.findall(plain.lower()))
 
-    def word(self, word: str) -> bytes:
+    def word(self, word: str) -> tuple[bytes, bytes]:
         data = word.encode("utf-8")
         symbols = [self.inner[b] for b in data]
         symbols[-1] = self.last[data[-1]]
         if -1 in symbols:  # a vocabulary without this byte: the tokenizer leaves it out
             symbols = [s for s in symbols if s >= 0]
-        return _packed(self.merge(symbols))
+        ids = self.merge(symbols)
+        return _packed(ids), self.decode(ids).encode()
+
+    def pieces(self, text: str | None) -> Iterator[tuple[bytes, bytes]]:
+        """A whole text piece by piece: ids as little-endian unsigned 32-bit numbers, and their decoded text."""
+        if not text:
+            return iter(())
+        parts = self.marks.split(text) if "<|" in text else [text]
+        if len(parts) == 1:
+            return self.words(text)
+        special = lambda part: iter([(_packed([self.special[part]]), part.encode())])
+        return chain.from_iterable(special(p) if p in self.special else self.words(p) for p in parts)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        if "<|" in text:
-            pieces = self.marks.split(text)
-            if len(pieces) > 1:
-                special = self.special
-                return b"".join(_packed([special[p]]) if p in special else self.encode(p) for p in pieces)
-        if _SEPARATORS.search(text):
-            return self.words(self.blank.sub(" ", text))
-        return b"".join(map(self.chunks.__getitem__, text.split()))
+        return b"".join([ids for ids, _ in self.pieces(text)])
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings one after the other, parted by blanks: the file names no decoder."""
@@ -141,15 +147,16 @@ class Codec:
 
 
 class _Memory(dict):
-    """Results of a function of one string."""
+    """Results of a function of one string, in two generations: the older one goes when the younger is full."""
 
     def __init__(self, compute, most: int):
-        self.compute, self.most = compute, most
+        self.compute, self.half, self.older = compute, most // 2, {}
 
-    def __missing__(self, key: str) -> bytes:
-        if len(self) > self.most:
+    def __missing__(self, key: str):
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
-        result = self[key] = self.compute(key)
+        result = self[key] = self.older[key] if key in self.older else self.compute(key)
         return result
 
 
@@ -211,26 +218,30 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
     return _with_column(df, text, T.StringType(), ids, lambda column: _decoded(column, tokenizer))
 
 
+def _digest(coder: Codec, text: str | None) -> tuple[int, str, str]:
+    """Number of tokens, digest of the ids, digest of the decoded text."""
+    pieces = [p for p in coder.pieces(text) if p[0]]
+    ids = b"".join([p[0] for p in pieces])
+    return len(ids) // 4, sha256(ids).hexdigest(), sha256(b" ".join([p[1] for p in pieces])).hexdigest()
+
+
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, encoded and decoded.
 
     The steps of `encode` and `decode` in one pass, so that ids and decoded texts, several
-    times the size of the input, stay in the worker; ids count as little-endian unsigned
-    32-bit numbers, texts as UTF-8, digests are lower-case hex.
+    times the size of the input, stay in the worker, and a string that is remembered is neither
+    encoded nor decoded again; ids count as little-endian unsigned 32-bit numbers, texts as UTF-8,
+    digests are lower-case hex.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(tokenizer)
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS_PER_STEP):
                 batch = whole.slice(at, TEXTS_PER_STEP)
-                ids = _encoded(batch.column("text"), tokenizer)
-                texts = _decoded(ids, tokenizer).to_pylist()
-                columns = [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64)),
-                    pa.array([sha256(i.astype("<u4").tobytes()).hexdigest() for i in _lists(ids)], pa.string()),
-                    pa.array([sha256(t.encode("utf-8")).hexdigest() for t in texts], pa.string()),
-                ]
+                rows = [_digest(coder, text.as_py()) for text in batch.column("text")]
+                n, ids, decoded = zip(*rows, strict=True)
+                columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
             pa.default_memory_pool().release_unused()
 
