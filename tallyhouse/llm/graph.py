@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.sources.scratch import stage
+from tallyhouse.sources.scratch import discard, stage
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -13,12 +13,13 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
 
     Each round a node takes the smallest label among its neighbours and then the label of
     that label, so chains shorten fast. Labels are aggregated before they are joined, and
-    every round is written to the shared scratch folder, so lineage stays short.
+    every round is written to the shared scratch folder, so lineage stays short; the round before
+    is removed when the next one stands.
     """
     both = edges.select(F.col(left).alias("node"), F.col(right).alias("to"))
     both = both.unionByName(both.select(F.col("to").alias("node"), F.col("node").alias("to"))).distinct()
     both = stage(both, "edges")
-    labels = stage(
+    labels = held = stage(
         both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("label")),
         "labels",
     )
@@ -36,6 +37,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
             (F.least("new", "next") != F.col("label")).alias("changed"),
         )
         moved = stage(moved, "labels")
-        labels = moved.select("node", "label")
+        discard(held)
+        labels, held = moved.select("node", "label"), moved
         if not moved.where("changed").limit(1).count():
+            discard(both)
             return labels

@@ -35,11 +35,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.llm.graph import components
 from tallyhouse.llm.tables import batches_of
 from tallyhouse.llm.words import BLANKS, Words, mix, ngrams, word_groups
-from tallyhouse.sources.scratch import stage
+from tallyhouse.sources.scratch import discard, scratch_scope, stage
 
 SHINGLE_WORDS = 5
 SEEDS = 4
@@ -259,10 +260,9 @@ def links(docs: DataFrame, described: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("doc_id"))
     )
     tagged = nodes.select("set_id", _tag_column().alias("set_tag"))
-    members = stage(
-        prefix_filtered(stage(shared_keys(docs), "shared")).join(tagged, "set_tag").select("key", "set_id").distinct(),
-        "members",
-    )
+    shared = stage(shared_keys(docs), "shared")
+    members = stage(prefix_filtered(shared).join(tagged, "set_tag").select("key", "set_id").distinct(), "members")
+    discard(shared)
     wanted = members.select("set_id").distinct().join(nodes, "set_id")
     fetched = (
         _slim(docs)
@@ -336,24 +336,75 @@ def _tag_column():
     return F.conv(swapped, 16, 10).cast("long")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    with batches_of(docs.sparkSession, BATCH):  # all Python steps end in a written table
+def with_set_id(docs: DataFrame, name: str) -> DataFrame:
+    """Add the identity of every row's shingle set; null where there are no shingles."""
+    columns = [*docs.columns]
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").cast(pa.string())
+            made = [_identity(s) if len(s) else None for g in word_groups(texts, BLANKS) for s in shingle_sets(g)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*columns, name])
+
+    return docs.mapInArrow(run, schema)
+
+
+def labelled_sets(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, set_id, group_id, component_id`` for every row of ``docs``, written; nothing else is left of the search.
+
+    ``group_id`` is the smallest set a row's set can reach, and tells groups apart whose smallest doc_id is the same.
+    """
+    with scratch_scope(docs.sparkSession, "jaccard"), batches_of(docs.sparkSession, BATCH):
         described = stage(describe_sets(docs), "described")
         labels = links(docs, described)
-    lowest = (
-        described.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("set_id")
-        .agg(F.min("doc_id").alias("lowest"))
-        .join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-        .select("set_id", "lowest", F.coalesce("label", "set_id").alias("label"))
-    )
-    smallest = lowest.groupBy("label").agg(F.min("lowest").alias("component"))
-    by_set = lowest.join(smallest, "label").select("set_id", "component")
-    linked = described.where("n_shingles > 0 and doc_id is not null")
-    alone = described.where("n_shingles = 0 or doc_id is null")
-    return (
-        linked.join(by_set, "set_id")
-        .select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-        .unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+        linked = described.where("n_shingles > 0 and doc_id is not null")
+        lowest = (
+            linked.groupBy("set_id")
+            .agg(F.min("doc_id").alias("lowest"))
+            .join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+            .select("set_id", "lowest", F.coalesce("label", "set_id").alias("label"))
+        )
+        smallest = lowest.groupBy("label").agg(F.min("lowest").alias("component_id"))
+        by_set = lowest.join(smallest, "label").select("set_id", F.col("label").alias("group_id"), "component_id")
+        alone = described.where("n_shingles = 0 or doc_id is null").withColumns(
+            {"group_id": F.lit(None).cast("binary"), "component_id": F.col("doc_id")}
+        )
+        columns = ["doc_id", "n_shingles", "set_id", "group_id", "component_id"]
+        rows = linked.join(by_set, "set_id").select(*columns).unionByName(alone.select(*columns))
+        return stage(rows, "labelled", outlives=True)
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    return labelled_sets(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the document with the smallest doc_id.
+
+    Rows without doc_id or shingles stay. An id that stands on several rows is decided row by row: rows with
+    texts of other groups stay or go with those, and of equal rows, or linked ones under one id, one stays. The texts are joined
+    once, with a table of the ids that are not simply kept.
+    """
+    spark, columns = docs.sparkSession, docs.columns
+    groups = labelled_sets(docs)
+    known = groups.where("doc_id is not null")
+    fates = known.groupBy("doc_id").agg((F.count("*") > 1).alias("again"), F.max(F.col("component_id") != F.col("doc_id")).alias("gone"))
+    fates = stage(fates.where("again or gone").select("doc_id", "again"), "fates")
+    # Always the same join, so that what is broadcast does not depend on the size of the table.
+    kept = docs.join(fates.select(F.col("doc_id").alias("__doc")).hint("merge"), F.col("doc_id").cast("long") == F.col("__doc"), "left_anti")
+    again = fates.where("again").select(F.col("doc_id").alias("__doc"))
+    if again.isEmpty():
+        return kept
+    chosen = known.where("component_id = doc_id and n_shingles > 0").groupBy("group_id", "doc_id").agg(F.min("set_id").alias("set_id"))
+    packed = docs.join(again, F.col("doc_id").cast("long") == F.col("__doc"), "left_semi").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*columns).alias("row")
     )
+    with batches_of(spark, BATCH):
+        rows = stage(with_set_id(packed, "set_id").drop("text"), "repeated")
+    order = F.xxhash64(*[F.col("row")[c].cast("string") for c in columns])
+    first = rows.where("set_id is not null").groupBy("doc_id", "set_id").agg(F.min_by("row", order).alias("row"))
+    first = first.join(chosen, ["doc_id", "set_id"], "left_semi")
+    empty = rows.where("set_id is null")
+    return kept.unionByName(first.select("row.*")).unionByName(empty.select("row.*"))

@@ -215,7 +215,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
-    """Documents that hold no benchmark passage, as they are."""
-    leaking = overlaps(docs, benchmark, **limits).select(F.col("doc_id").alias("leaking_doc")).distinct()
-    return docs.join(leaking, F.col("doc_id").cast("long") == F.col("leaking_doc"), "left_anti")
+def _clean(index: Index, min_words: int, min_match: float):
+    """Pass on the rows whose text has no overlap with a block of the benchmark."""
+    scan = _scan(index, min_words, min_match)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = pa.array(np.arange(batch.num_rows))
+            texts = pa.RecordBatch.from_arrays([numbers, batch.column("text").cast(pa.string())], names=["row", "text"])
+            leaking = np.zeros(batch.num_rows, bool)
+            for found in scan(iter([texts])):
+                leaking[found.column("doc_id").to_numpy()] = True
+            yield batch.filter(pa.array(~leaking))
+
+    return run
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_match: float = MIN_MATCH
+) -> DataFrame:
+    """Documents that hold no benchmark passage, as they are. Decided while they are scanned, so no text is shuffled."""
+    for block in blocks(item_words(benchmark)):
+        docs = docs.mapInArrow(_clean(Index(block, min_words), min_words, min_match), docs.schema)
+    return docs
