@@ -4,8 +4,9 @@ Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all b
 return the columns of their input. `run` writes each stage's rows as Parquet and reads them again.
 
 Null and empty texts are never toxic, have no language and so go in the second stage. Rows
-without doc_id are kept by the stages that compare documents. A row repeated under one doc_id stays once
-after deduplication. Extra columns pass through. Empty tables give empty results.
+without doc_id are kept by the stages that compare documents. An id that stands on several rows is
+decided row by row: unrelated texts stay, of equal or linked ones under one id one stays. Extra columns
+pass through whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -18,33 +19,38 @@ from tallyhouse.llm.queries import tokenizer_path
 from tallyhouse.llm.tables import remainder, table
 from tallyhouse.sources.scratch import stage
 
-SCORE, REJECT, LANG, UNSURE = "__score", "__reject", "__lang", "__unsure"
+
+def _names(docs: DataFrame, *wanted: str) -> tuple[str, ...]:
+    """Names for further columns that no column of the documents bears, in any letter case."""
+    taken = {c.lower() for c in docs.columns}
+    found = []
+    for name in wanted:
+        while name in taken:
+            name += "_"
+        found.append(name)
+    return tuple(found)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labelled ones, does not reject."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
-    rated = toxicity.rate(docs, model, names=(SCORE, REJECT))
-    return rated.where(F.col(REJECT) == 0).select(*docs.columns)
+    score, reject = _names(docs, "score", "reject")
+    rated = toxicity.rate(docs, model, names=(score, reject))
+    return rated.where(F.col(reject) == 0).select(*docs.columns)
 
 
 def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known and not ambiguous."""
     model = langid.fit(docs.where(remainder(F.col("doc_id"), 4) != 2))
-    named = langid.identify(docs, model, names=(LANG, SCORE, UNSURE))
-    return named.where((F.col(LANG) != langid.UNKNOWN) & ~F.col(UNSURE)).select(*docs.columns)
+    lang, score, unsure = _names(docs, "lang_pred", "score", "unsure")
+    named = langid.identify(docs, model, names=(lang, score, unsure))
+    return named.where((F.col(lang) != langid.UNKNOWN) & ~F.col(unsure)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of every group of near duplicates."""
-    groups = stage(jaccard.jaccard_components(docs), "groups")
-    gone = groups.where("component_id != doc_id").select("doc_id").distinct()
-    twice = groups.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    once = kept.join(twice.select("doc_id"), "doc_id", "left_anti")
-    again = kept.join(twice.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).select(*docs.columns)
+    return jaccard.first_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +71,7 @@ STAGES = [
     ("encoding", encode),
 ]
 
-ORACLE_SQL = None  # models and tokenizers: tests/llm compares every stage with a brute-force version
+ORACLE_SQL = None  # models and tokenizers; tests/llm/test_pipeline.py compares stages with brute-force versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
