@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import reports
-from tallyhouse.sources import catalog, csv_files, scratch
+from tallyhouse.sources import catalog, csv_files, csv_records, files, scratch
 from tallyhouse.sources.jdbc import jdbc_options
 from tallyhouse.sources.layers import land_raw, partition_filter, read_layer, write_layer
 from tests.support.samples import by
@@ -62,6 +64,78 @@ def test_csv_types_leave_ids_alone(spark, tmp_path):
     assert [tuple(row) for row in df.collect()] == [("007", 5, 'say "hi", twice'), ("008", None, None)]
 
 
+def csv_text(seed, newline):
+    rng = random.Random(seed)
+    pieces = ["a", "bc", "é", " ", "x y", "1"]
+
+    def field():
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 5)))
+        if rng.random() < 0.5:
+            return text
+        inner = [text, '""', ",", newline, newline * 2, "z"]
+        return '"' + "".join(rng.choice(inner) for _ in range(rng.randint(0, 5))) + '"' + rng.choice(["", "", "  "])
+
+    lines = [",".join(field() for _ in range(rng.choice([4, 4, 4, 3, 5]))) for _ in range(rng.choice([0, 1, 60]))]
+    return newline.join(["col_a,col b,c,d", *lines]) + rng.choice(["", newline])
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_csv_blocks_give_the_rows_of_a_whole_file(spark, tmp_path, seed):
+    path = str(tmp_path / "a.csv")
+    (tmp_path / "a.csv").write_bytes(csv_text(seed, ["\n", "\r\n"][seed % 2]).encode())
+    ordered = lambda df: sorted(map(tuple, df.collect()), key=lambda r: tuple((v is not None, v) for v in r))
+    want = ordered(spark.read.csv(path, header=True, multiLine=True, escape='"'))
+    for block in (24, 300, 1 << 20):
+        got = csv_records.read_records(spark, path, None, "windows-1252", block=block)
+        assert got.columns == ["col_a", "col b", "c", "d"] and ordered(got) == want
+
+
+def test_one_csv_file_is_read_by_many_tasks_without_settings(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\ufefforder_id,note\n" + "".join(f'{i},"line {i}\nnext"\n' for i in range(20_000)))
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.getAll
+    df = csv_files.read_csv_source(spark, str(tmp_path / "a.csv"), block=32_768)
+    assert df.sparkSession is spark and df.columns == ["order_id", "note"]
+    assert df.select(F.spark_partition_id()).distinct().count() > 8
+    assert df.where("note = concat('line ', order_id, '\\nnext')").count() == df.count() == 20_000
+    assert (dict(spark.sparkContext.getConf().getAll()), spark.conf.getAll) == before
+
+
+def test_csv_files_of_a_folder_have_a_header_each(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("a", "b"):
+        (tmp_path / "in" / f"{name}.csv").write_text(f'\nx,x,\n"{name}\n{name}",2,3\n\n')
+    (tmp_path / "in" / "c.csv").write_text('x,x,\n1,"never closed\n')
+    df = csv_records.read_records(spark, str(tmp_path / "in"), None, "windows-1252")
+    assert df.columns == ["x0", "x1", "_c2"]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([("a\na", "2", "3"), ("b\nb", "2", "3"), ("1", "never closed", None)], key=str)
+    (tmp_path / "empty.csv").write_text("")
+    assert csv_files.read_csv_source(spark, str(tmp_path / "empty.csv")).columns == []
+
+
+@pytest.mark.parametrize(
+    ("line", "inside", "after"),
+    [("a,b", False, False), ('a,"b', False, True), ('a,"b"', False, False), ('a,"b""', False, True), ('5" pipe,c', False, False),
+     ('"a" ,"b', False, True), ('"a"b,"c', False, True), ("text", True, True), ('end",x', True, False), ('end"",x', True, True),
+     ("", True, True), ("", False, False)],
+)
+def test_state_at_the_end_of_a_line(line, inside, after):
+    assert csv_records.end_state(line.encode(), inside) is after
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    with scratch.scratch_scope(spark) as folder:
+        inner = scratch.stage(spark.range(3), "inner")
+        kept = scratch.stage(inner.withColumn("x", F.lit(1)), "kept", outlives=True)
+        assert inner.scratch_path.startswith(folder) and files.exists(spark, folder)
+        scratch.discard(inner)
+        assert not files.exists(spark, inner.scratch_path)
+    assert not files.exists(spark, folder) and kept.count() == 3
+    with pytest.raises(ValueError, match="stop"), scratch.scratch_scope(spark) as folder:
+        scratch.stage(spark.range(3), "inner")
+        raise ValueError("stop")
+    assert not files.exists(spark, folder)
+
+
 def test_missing_sources(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         csv_files.load_sources(spark, str(tmp_path))
