@@ -97,7 +97,15 @@ def enforce(report: DataFrame) -> list[tuple]:
     return results
 
 
+def written_gate(dataset: str, observed: int | None, written: DataFrame) -> DataFrame:
+    """The files hold as many rows as went into them; counting files reads their footers only."""
+    source = written.sparkSession.range(1).select(F.lit(observed or 0).cast("bigint").alias("row_count"))
+    gate = Gate("all rows were written", "source.row_count", "target.row_count")
+    return gate_report(dataset, source, written.agg(rows("row_count")), [gate])
+
+
 def row_count_gate(dataset: str, raw: DataFrame, clean: DataFrame) -> DataFrame:
+    """Cleaning keeps every row. Both frames should read written files: two plans over one scan cannot differ."""
     return gate_report(dataset, raw.agg(rows("row_count")), clean.agg(rows("row_count")), [rows_kept()])
 
 

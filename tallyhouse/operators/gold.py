@@ -81,8 +81,9 @@ def unmatched_option_lines(order_items: DataFrame, line_options: DataFrame) -> D
     return line_options.join(line_keys, list(LINE_KEY), "left_anti")
 
 
-def fact_order_line_totals(lines: DataFrame) -> DataFrame:
-    return lines.agg(
+def line_measures() -> list[Column]:
+    """Totals of order lines, to aggregate or to observe while they are written."""
+    return [
         rows("line_count"),
         F.count_if("has_options").alias("lines_with_options"),
         F.count_if("has_discount").alias("lines_with_discount"),
@@ -90,7 +91,11 @@ def fact_order_line_totals(lines: DataFrame) -> DataFrame:
         money_sum("option_revenue", "total_option_revenue"),
         money_sum("discount_amount", "total_discount_amount"),
         money_sum("net_line_revenue", "total_net_line_revenue"),
-    )
+    ]
+
+
+def fact_order_line_totals(lines: DataFrame) -> DataFrame:
+    return lines.agg(*line_measures())
 
 
 def _earliest(name: str) -> Column:
@@ -157,8 +162,9 @@ def fact_order(lines: DataFrame) -> DataFrame:
     )
 
 
-def fact_order_totals(orders: DataFrame) -> DataFrame:
-    return orders.agg(
+def order_measures() -> list[Column]:
+    """Totals of orders, to aggregate or to observe while they are written."""
+    return [
         rows("order_count"),
         F.count_if("has_user_id").alias("orders_with_user_id"),
         F.count_if("has_options").alias("orders_with_options"),
@@ -168,4 +174,8 @@ def fact_order_totals(orders: DataFrame) -> DataFrame:
         money_sum("option_revenue", "total_option_revenue"),
         money_sum("discount_amount", "total_discount_amount"),
         money_sum("net_order_revenue", "total_net_order_revenue"),
-    )
+    ]
+
+
+def fact_order_totals(orders: DataFrame) -> DataFrame:
+    return orders.agg(*order_measures())

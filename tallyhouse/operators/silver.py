@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import casts
@@ -42,13 +42,17 @@ def clean_order_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def order_items_quality(clean: DataFrame) -> DataFrame:
-    return clean.agg(
-        rows("row_count"),
+def order_items_measures() -> list[Column]:
+    """Quality counts of cleaned lines, to aggregate or to observe while they are written."""
+    return [
         F.count_if(~F.col("is_valid_order_item_key")).alias("invalid_key_count"),
         F.count_if(~F.col("has_user_id")).alias("missing_user_id_count"),
         F.count_if(F.col("creation_time_utc").isNull()).alias("invalid_timestamp_count"),
-    )
+    ]
+
+
+def order_items_quality(clean: DataFrame) -> DataFrame:
+    return clean.agg(rows("row_count"), *order_items_measures())
 
 
 def clean_order_item_options(raw: DataFrame) -> DataFrame:
@@ -76,14 +80,18 @@ def clean_order_item_options(raw: DataFrame) -> DataFrame:
     )
 
 
-def options_quality(clean: DataFrame) -> DataFrame:
-    return clean.agg(
-        rows("row_count"),
+def options_measures() -> list[Column]:
+    """Quality counts of cleaned options, to aggregate or to observe while they are written."""
+    return [
         F.count_if(~F.col("is_valid_option_key")).alias("invalid_key_count"),
         F.count_if("is_discount").alias("discount_row_count"),
         F.count_if(F.col("option_price").isNull()).alias("null_option_price_count"),
         F.count_if(F.col("option_quantity").isNull()).alias("null_option_quantity_count"),
-    )
+    ]
+
+
+def options_quality(clean: DataFrame) -> DataFrame:
+    return clean.agg(rows("row_count"), *options_measures())
 
 
 def duplicate_option_keys(clean: DataFrame) -> DataFrame:

@@ -1,26 +1,27 @@
 """The whole run for one ingest date: raw, cleaned, facts, marts.
 
-Every dataset is computed once, checked, and only then published. Cleaned layers
-are row-by-row projections, so counting them first touches no wide column. Facts
-and marts come from shuffles; they are written to the scratch folder, checked
-there, and copied into their date partition.
+Every dataset is written once, next to its place. Counts and totals are measured during that write, gates compare them and the
+written files with the sources, and a dataset that passes is renamed into its date. What the run put into
+the scratch folder is removed at its end, also after a failed gate.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyhouse.operators import checks, customers, gold, sales, silver
 from tallyhouse.session import configure, sized_shuffles
-from tallyhouse.sources.layers import land_raw, read_layer, write_layer
-from tallyhouse.sources.scratch import stage
+from tallyhouse.sources.layers import read_layer
+from tallyhouse.sources.publishing import publish, withdraw, write_draft
+from tallyhouse.sources.scratch import scratch_scope, stage
 
 log = logging.getLogger(__name__)
 
@@ -42,10 +43,11 @@ LAYER_OF = {
 }
 MARTS = tuple(name for name, layer in LAYER_OF.items() if layer == "mart")
 
-_CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "order_items": silver.clean_order_items,
-    "order_item_options": silver.clean_order_item_options,
-    "date_dim": silver.clean_date_dim,
+# How each source is cleaned, and what is measured while its cleaned rows are written.
+_CLEANERS: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[], list[Column]]]] = {
+    "order_items": (silver.clean_order_items, silver.order_items_measures),
+    "order_item_options": (silver.clean_order_item_options, silver.options_measures),
+    "date_dim": (silver.clean_date_dim, list),
 }
 
 
@@ -64,52 +66,49 @@ def table_paths(root: str, datasets: tuple[str, ...] = MARTS) -> dict[str, str]:
 
 @dataclass
 class LayeredRun:
-    """Published datasets of one date, and every gate result."""
+    """Published datasets of one date, every gate result, and what was measured while each dataset was written."""
 
     spark: SparkSession
     root: str
     ingest_date: str
     layers: dict[str, DataFrame] = field(default_factory=dict)
-    gates: list[tuple] = field(default_factory=list)
+    checked: dict[str, list[tuple]] = field(default_factory=dict)
+    observed: dict[str, dict[str, object]] = field(default_factory=dict)
 
     def __getitem__(self, dataset: str) -> DataFrame:
         return self.layers[dataset]
 
-    def open(self, dataset: str) -> DataFrame:
-        base = base_path(self.root, dataset)
-        self.layers[dataset] = read_layer(self.spark, base, self.ingest_date)
-        return self.layers[dataset]
-
-    def check(self, report: DataFrame) -> None:
-        self.gates += checks.enforce(report)
-
-    def publish(self, dataset: str, df: DataFrame) -> DataFrame:
-        write_layer(df, base_path(self.root, dataset), self.ingest_date)
-        log.info("published %s for %s", dataset, self.ingest_date)
-        return self.open(dataset)
+    @property
+    def gates(self) -> list[tuple]:
+        return [row for dataset in LAYER_OF for row in self.checked.get(dataset, [])]
 
     def build(
         self,
         dataset: str,
         df: DataFrame,
-        gate: Callable[[DataFrame], DataFrame],
-        *,
-        is_written: bool = False,
+        gate: Callable[[DataFrame], DataFrame] | None = None,
+        measures: Sequence[Column] = (),
     ) -> DataFrame:
-        """Compute once into scratch, check there, then publish.
-
-        ``is_written`` marks a frame that only projects a written table already:
-        the gate reads the few columns it needs, and no other copy is made.
-        """
-        staged = df if is_written else stage(df, dataset)
-        self.check(gate(staged))
-        return self.publish(dataset, staged)
+        """Write a draft, check its files, publish it. Each dataset has its own entries, so steps may run at once."""
+        base = base_path(self.root, dataset)
+        draft = write_draft(df, base, self.ingest_date, *measures)
+        try:
+            report = checks.written_gate(dataset, draft.observed.get("row_count"), draft.df)
+            self.checked[dataset] = checks.enforce(report.unionByName(gate(draft.df)) if gate else report)
+            publish(draft)
+        except BaseException:
+            withdraw(draft)
+            raise
+        log.info("published %s for %s: %s", dataset, self.ingest_date, draft.observed)
+        self.observed[dataset] = draft.observed
+        self.layers[dataset] = read_layer(self.spark, base, self.ingest_date)
+        return self.layers[dataset]
 
 
 def _together(*steps: Callable[[], None]) -> None:
-    """Run steps at once; the first error is raised when all have ended."""
+    """Run steps at once, within the scratch scope of the caller; the first error is raised when all have ended."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(step) for step in steps]:
+        for done in [pool.submit(copy_context().run, step) for step in steps]:
             done.result()
 
 
@@ -125,22 +124,19 @@ def run_layers(
     """
     configure(spark)
     run = LayeredRun(spark, root, ingest_date or today())
-    landed: dict[str, int] = {}
 
     def clean_source(name: str) -> None:
-        landed[name] = land_raw(sources[name], base_path(root, name), run.ingest_date)
-        log.info("landed %s: %d rows", name, landed[name])
-        raw = run.open(name)
-        clean = _CLEANERS[name](raw)
-        run.check(checks.row_count_gate(f"{name}_clean", raw, clean))
-        run.publish(f"{name}_clean", clean)
-
-    # Datasets that do not depend on each other are submitted together, which
-    # keeps the cluster busy while one of them is down to its last tasks.
-    _together(*[partial(clean_source, name) for name in SOURCES])
-    items, options, dates = (run[f"{name}_clean"] for name in SOURCES)
-    with sized_shuffles(spark, max(landed.values())):
-        _facts_and_marts(run, items, options, dates)
+        raw = run.build(name, sources[name])
+        clean, measures = _CLEANERS[name]
+        run.build(f"{name}_clean", clean(raw), partial(checks.row_count_gate, f"{name}_clean", raw), measures())
+
+    with scratch_scope(spark, "run_layers"):
+        # Datasets that do not depend on each other are submitted together, which
+        # keeps the cluster busy while one of them is down to its last tasks.
+        _together(*[partial(clean_source, name) for name in SOURCES])
+        items, options, dates = (run[f"{name}_clean"] for name in SOURCES)
+        with sized_shuffles(spark, max(run.observed[name].get("row_count") or 0 for name in SOURCES)):
+            _facts_and_marts(run, items, options, dates)
     return run
 
 
@@ -149,7 +145,8 @@ def _facts_and_marts(run: LayeredRun, items: DataFrame, options: DataFrame, date
     lines = run.build(
         "fact_order_line",
         gold.fact_order_line(items, line_options),
-        lambda mart: checks.line_grain_gate(items, line_options, mart),
+        partial(checks.line_grain_gate, items, line_options),
+        gold.line_measures(),
     )
 
     def item_mart() -> None:
@@ -166,7 +163,7 @@ def _facts_and_marts(run: LayeredRun, items: DataFrame, options: DataFrame, date
 
     def order_marts() -> None:
         orders = gold.fact_order(lines)
-        orders = run.build("fact_order", orders, partial(checks.order_grain_gate, lines))
+        orders = run.build("fact_order", orders, partial(checks.order_grain_gate, lines), gold.order_measures())
         _together(
             partial(customer_marts, orders),
             partial(daily_mart, orders),
@@ -184,14 +181,13 @@ def _facts_and_marts(run: LayeredRun, items: DataFrame, options: DataFrame, date
 
     def customer_marts(orders: DataFrame) -> None:
         daily = customers.customer_daily_clv(orders)
-        # Quartile labels are projections over rows staged for ranking.
         gate = partial(checks.customer_daily_clv_gate, orders)
-        daily = run.build("customer_daily_clv", daily, gate, is_written=True)
+        daily = run.build("customer_daily_clv", daily, gate)
         snapshot = customers.customer_clv_snapshot(daily)
         gate = partial(checks.customer_clv_snapshot_gate, daily)
-        snapshot = run.build("customer_clv_snapshot", snapshot, gate, is_written=True)
+        snapshot = run.build("customer_clv_snapshot", snapshot, gate)
         rfm = customers.customer_rfm(snapshot)
         gate = partial(checks.customer_rfm_gate, snapshot)
-        run.build("customer_rfm", rfm, gate, is_written=True)
+        run.build("customer_rfm", rfm, gate)
 
     _together(order_marts, item_mart, restaurant_item_mart, option_mart)

@@ -283,7 +283,7 @@ def _row_count_gate(f: Frames) -> DataFrame:
     clean = {"order_items": f.items, "order_item_options": f.options, "date_dim": f.dates}
     return profile.union_all(
         [
-            checks.row_count_gate(f"{name}_clean", raw, clean[name])
+            checks.row_count_gate(f"{name}_clean", stage(raw, name), stage(clean[name], f"{name}_clean"))
             for name, raw in f.sources.items()
         ]
     )
