@@ -19,7 +19,6 @@ import struct
 from collections.abc import Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
-from itertools import chain
 from unicodedata import normalize
 
 import numpy as np
@@ -29,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Words a worker remembers, with their ids and decoded text. A full memory keeps what was used
-# since it was half full, which changes no result.
-REMEMBERED_WORDS = 600_000
+# Words a worker remembers with their ids. A full memory keeps what was used since it was half
+# full, which changes no result.
+REMEMBERED_WORDS = 300_000
 TEXTS_PER_STEP = 250
 _GONE = -(1 << 62)
 # Blanks to str.split() that the tokenizer takes for characters.
@@ -109,37 +108,30 @@ class Codec:
                     heappush(heap, rank << shift | h)
         return [s for s in symbols if s != _GONE]
 
-    def words(self, text: str) -> Iterator[tuple[bytes, bytes]]:
-        """The words of a text without special tokens, each as ids and decoded text."""
+    def words(self, text: str) -> bytes:
+        """Ids of a text without special tokens, word by word."""
         if _SEPARATORS.search(text):
             text = self.blank.sub(" ", text)
         elif text.isascii():
-            return map(self.known.__getitem__, self.ascii_pattern.findall(text.lower()))
+            return b"".join(map(self.known.__getitem__, self.ascii_pattern.findall(text.lower())))
         plain = normalize("NFC", text).replace("\u03a3", "\u03c3")
-        return map(self.known.__getitem__, self.pattern.findall(plain.lower()))
+        return b"".join(map(self.known.__getitem__, self.pattern.findall(plain.lower())))
 
-    def word(self, word: str) -> tuple[bytes, bytes]:
+    def word(self, word: str) -> bytes:
         data = word.encode("utf-8")
         symbols = [self.inner[b] for b in data]
         symbols[-1] = self.last[data[-1]]
         if -1 in symbols:  # a vocabulary without this byte: the tokenizer leaves it out
             symbols = [s for s in symbols if s >= 0]
-        ids = self.merge(symbols)
-        return _packed(ids), self.decode(ids).encode()
-
-    def pieces(self, text: str | None) -> Iterator[tuple[bytes, bytes]]:
-        """A whole text piece by piece: ids as little-endian unsigned 32-bit numbers, and their decoded text."""
-        if not text:
-            return iter(())
-        parts = self.marks.split(text) if "<|" in text else [text]
-        if len(parts) == 1:
-            return self.words(text)
-        special = lambda part: iter([(_packed([self.special[part]]), part.encode())])
-        return chain.from_iterable(special(p) if p in self.special else self.words(p) for p in parts)
+        return _packed(self.merge(symbols))
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit numbers."""
-        return b"".join([ids for ids, _ in self.pieces(text)])
+        if not text:
+            return b""
+        parts = self.marks.split(text) if "<|" in text else [text]
+        special = self.special
+        return b"".join([_packed([special[p]]) if p in special else self.words(p) for p in parts])
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings one after the other, parted by blanks: the file names no decoder."""
@@ -220,18 +212,17 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
 
 def _digest(coder: Codec, text: str | None) -> tuple[int, str, str]:
     """Number of tokens, digest of the ids, digest of the decoded text."""
-    pieces = [p for p in coder.pieces(text) if p[0]]
-    ids = b"".join([p[0] for p in pieces])
-    return len(ids) // 4, sha256(ids).hexdigest(), sha256(b" ".join([p[1] for p in pieces])).hexdigest()
+    ids = coder.encode(text)
+    decoded = coder.decode(np.frombuffer(ids, "<u4").tolist())
+    return len(ids) // 4, sha256(ids).hexdigest(), sha256(decoded.encode("utf-8")).hexdigest()
 
 
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, encoded and decoded.
 
     The steps of `encode` and `decode` in one pass, so that ids and decoded texts, several
-    times the size of the input, stay in the worker, and a string that is remembered is neither
-    encoded nor decoded again; ids count as little-endian unsigned 32-bit numbers, texts as UTF-8,
-    digests are lower-case hex.
+    times the size of the input, stay in the worker; ids count as little-endian unsigned
+    32-bit numbers, texts as UTF-8, digests are lower-case hex.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
