@@ -83,5 +83,13 @@ def test_profiles_read_each_file_once(run):
     for report in (
         profile.data_quality_report({profile.ITEMS: items}),
         profile.profile_columns(profile.ITEMS, items),
+        profile.profile_summary(profile.ITEMS, items),
     ):
         assert plan(report).count("FileScan parquet") == 1
+
+
+def test_profiles_move_hashes_and_no_cells(run):
+    text = plan(profile.profile_summary(profile.ITEMS, run["order_items"]))
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert [re.sub(r"#\d+L?", "", k) for k in keys] == ["position, 8", "position, is_null, h1, h2, 8"]
+    assert "SortAggregate" not in text and not re.search(r"cast\(\w+#\d+ as string\)", text.split("Exchange hashpartitioning")[-1])
