@@ -1,4 +1,4 @@
-"""Exact quartiles over a whole dataset, without sorting it in one task.
+"""Exact quartiles, positions and ranks over a whole dataset, without sorting it in one task.
 
 ``ntile`` over an unpartitioned window sends every row to a single task. Bucket
 membership, however, only depends on the rows standing at the bucket ends. Each
@@ -15,10 +15,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from os.path import commonprefix
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegralType, StringType
 
+from tallyhouse.sources.scratch import stage
+
 # Characters resolved per pass: at most 17 ** 3 prefix counts per bucket end.
 STEP = 3
 # Sorts after every character of a key.
@@ -156,3 +158,51 @@ def top_rows(df: DataFrame, by: str | None, keys: Sequence[str], most: int | Non
     """Rows in falling order of a measure, the first ones only if a number is given; the keys settle ties."""
     ordered = df.orderBy(*([F.col(by).desc()] if by else []), *keys)
     return ordered if most is None else ordered.limit(most)
+
+
+def _in_order(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, Column]:
+    """The rows written in order, with ``_line`` rising along it, and the task each was sorted in.
+
+    Line numbers leave gaps between tasks; they are settled once written, so a lost task changes nothing.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stage(ordered.withColumn("_line", F.monotonically_increasing_id()), "ordered"), F.shiftright("_line", 33)
+
+
+def _before(line: DataFrame, task: Column, **counts: Column) -> DataFrame:
+    """For every task its first line and the sums over the tasks before it: one row a task, worked out on the driver."""
+    totals = line.groupBy(task.alias("_task")).agg(F.min("_line").alias("_first"), *[c.alias(n) for n, c in counts.items()])
+    rows, before = [], dict.fromkeys(counts, 0)
+    for row in sorted(totals.collect(), key=lambda r: r["_task"]):
+        rows.append((row["_task"], row["_first"], *before.values()))
+        before = {name: before[name] + row[name] for name in counts}
+    schema = ", ".join(["_task bigint", "_first bigint", *[f"_before_{name} bigint" for name in counts]])
+    return F.broadcast(line.sparkSession.createDataFrame(rows, schema))  # as many rows as the sort had tasks
+
+
+def with_positions(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """Number all rows from 1 in an order that tells every row apart, without bringing them to one task."""
+    line, task = _in_order(df, order)
+    before = _before(line, task, n=F.count(F.lit(1)))
+    placed = line.join(before, task.cast("bigint") == F.col("_task"))
+    position = (F.col("_line") - F.col("_first") + F.col("_before_n") + 1).alias(name)
+    return placed.select(*df.columns, position)
+
+
+def with_ranks(df: DataFrame, by: str, rank: str = "rank", dense_rank: str = "dense_rank") -> DataFrame:
+    """Add ``rank`` and ``dense_rank`` by one column in falling order, nulls last, over a whole dataset.
+
+    Equal values are counted before they are sorted, so what is put in order is one row for each value, and
+    a rank is the number of rows before its value, from counts per task and running counts within a task.
+    """
+    values = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    line, task = _in_order(values, [F.desc_nulls_last(by)])
+    before = _before(line, task, values=F.count(F.lit(1)), rows=F.sum("_n"))
+    running = Window.partitionBy("_task").orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
+    placed = line.join(before, task.cast("bigint") == F.col("_task"))
+    ranks = placed.select(
+        F.col(by).alias("_value"),
+        (F.col("_before_rows") + F.coalesce(F.sum("_n").over(running), F.lit(0)) + 1).alias(rank),
+        (F.col("_before_values") + F.col("_line") - F.col("_first") + 1).alias(dense_rank),
+    )
+    return df.join(ranks, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from tallyhouse.operators.trends import TREND_COLUMNS, TREND_LEVELS
+
 # --- exact ratios --------------------------------------------------------------
 
 
@@ -1293,4 +1295,146 @@ from (
 )
 """
 
+# further metrics
+_TREND = ", ".join(TREND_COLUMNS)
+
+
+def _change(now: str, before: str) -> str:
+    ratio = _half_up(f"({_cents(f'{now} - {before}')} * 10000)", _cents(before))
+    return f"case when {before} > 0 then {_scaled(ratio, 4, 'decimal(14,4)')} end"
+
+
+FINALS["sales_trends"] = f"""
+select *, {_change("net_revenue", "last_year_net_revenue")} as revenue_change
+from (
+    select *,
+           case when year is not null then cast(sum(net_revenue) over (
+               partition by grouping_id, {", ".join(c for c in TREND_COLUMNS if c != "year")}
+               order by year range between 1 preceding and 1 preceding) as decimal(14,2)) end as last_year_net_revenue
+    from (
+        select {_TREND}, cast(grouping({_TREND}) as bigint) as grouping_id,
+               coalesce(nullif(concat_ws('+', {", ".join(f"case when grouping({c}) = 0 then '{c}' end" for c in TREND_COLUMNS)}), ''), 'total') as level,
+               count(*) as line_count, cast(sum(item_quantity) as bigint) as item_quantity,
+               cast(sum(net_line_revenue) as decimal(14,2)) as net_revenue
+        from (
+            select cast(year(order_date) as integer) as year, cast(month(order_date) as integer) as month,
+                   cast(weekofyear(order_date) as integer) as week, coalesce(d.is_holiday, false) as is_holiday,
+                   item_category, restaurant_id, item_quantity, net_line_revenue
+            from lines l left join dates d on l.order_date = d.date_key
+        )
+        group by grouping sets ({", ".join(f"({', '.join(level)})" for level in TREND_LEVELS)})
+    )
+)
+"""
+FINALS["churn_risk"] = f"""
+select *,
+       case when longest_gap_days is null then 'single_visit'
+            when days_since_last_order > 2 * longest_gap_days then 'lapsed'
+            when days_since_last_order > longest_gap_days then 'at_risk'
+            when recent_net_revenue * 2 < earlier_net_revenue then 'declining'
+            else 'active' end as churn_risk
+from (
+    select user_id, last_order_date,
+           cast(date_diff('day', last_order_date, (select max(order_date) from spend)) as integer) as days_since_last_order,
+           order_days, {count_per("gap_days", "gaps")} as average_gap_days, longest_gap_days,
+           recent_net_revenue, earlier_net_revenue,
+           {_change("recent_net_revenue", "earlier_net_revenue")} as spend_change
+    from (
+        select user_id, max(order_date) as last_order_date, count(*) as order_days,
+               sum(gap) as gap_days, count(gap) as gaps, cast(max(gap) as integer) as longest_gap_days,
+               cast(sum(daily_net_revenue) filter (where age <= 5) as decimal(14,2)) as recent_net_revenue,
+               cast(sum(daily_net_revenue) filter (where age between 6 and 10) as decimal(14,2)) as earlier_net_revenue
+        from (
+            select *, row_number() over newest as age,
+                   date_diff('day', lead(order_date) over newest, order_date) as gap
+            from spend where order_date is not null
+            window newest as (partition by user_id order by order_date desc)
+        )
+        group by user_id
+    )
+)
+"""
+FINALS["location_ranking"] = f"""
+select *,
+       rank() over (order by net_revenue desc nulls last) as revenue_rank,
+       dense_rank() over (order by net_revenue desc nulls last) as revenue_dense_rank,
+       rank() over (order by order_count desc nulls last) as order_rank,
+       dense_rank() over (order by order_count desc nulls last) as order_dense_rank
+from (
+    select *, {money_per("net_revenue", "order_count")} as avg_order_value
+    from (
+        select restaurant_id, count(order_id) as order_count, count(distinct user_id) as customer_count,
+               {_money_sums("net_order_revenue as net_revenue")}
+        from fact_orders group by restaurant_id
+    )
+)
+"""
+STEPS["members"] = """
+select user_id, coalesce(bool_or(is_loyalty), false) as is_member,
+       cast(date_trunc('month', min(order_date)) as date) as cohort_month
+from cust_orders where order_date is not null group by user_id
+"""
+FINALS["loyalty_days"] = f"""
+select is_member, cohort_month, order_date, count(*) as customers, cast(sum(daily_order_count) as bigint) as order_count,
+       {_money_sums("daily_net_revenue as net_revenue")}
+from spend join members using (user_id) where order_date is not null
+group by is_member, cohort_month, order_date
+"""
+FINALS["loyalty_cohorts"] = f"""
+select *, {rate("customers", "cohort_size")} as repeat_rate, {money_per("net_revenue", "customers")} as net_revenue_per_customer
+from (
+    select *, max(customers) filter (where months_since = 0) over (partition by is_member, cohort_month) as cohort_size
+    from (
+        select is_member, cohort_month,
+               cast(12 * (year(order_date) - year(cohort_month)) + month(order_date) - month(cohort_month) as integer) as months_since,
+               count(distinct user_id) as customers, cast(sum(daily_order_count) as bigint) as order_count,
+               {_money_sums("daily_net_revenue as net_revenue")}
+        from spend join members using (user_id) where order_date is not null
+        group by all
+    )
+)
+"""
+
+
+def _same_mix(measure: str) -> str:
+    """Ten-thousandths of what the discounted lines would have brought at the full-price average."""
+    return _half_up(f"(discounted_lines * cast({measure} * 100 as hugeint) * 100)", "cast(nullif(full_lines, 0) as hugeint)")
+
+
+FINALS["discount_effectiveness"] = f"""
+select *, cast(avg_net_discounted - avg_net_full_price as decimal(14,2)) as net_effect,
+       cast(avg_quantity_discounted - avg_quantity_full_price as decimal(14,2)) as quantity_effect
+from (
+    select item_category, is_total, matched_strata, unmatched_strata, matched_discounted_lines, unmatched_discounted_lines,
+           {_scaled(_half_up("net_cents", "nullif(matched_discounted_lines, 0)"), 2, "decimal(14,2)")} as avg_net_discounted,
+           {_scaled(_half_up("full_net", "(100 * nullif(matched_discounted_lines, 0))"), 2, "decimal(14,2)")} as avg_net_full_price,
+           {_scaled(_half_up("(quantity * 100)", "nullif(matched_discounted_lines, 0)"), 2, "decimal(14,2)")} as avg_quantity_discounted,
+           {_scaled(_half_up("full_quantity", "(100 * nullif(matched_discounted_lines, 0))"), 2, "decimal(14,2)")} as avg_quantity_full_price
+    from (
+        select item_category, grouping(item_category) = 1 as is_total,
+               count(*) filter (where matched) as matched_strata, count(*) filter (where not matched) as unmatched_strata,
+               cast(coalesce(sum(discounted_lines) filter (where matched), 0) as bigint) as matched_discounted_lines,
+               cast(coalesce(sum(discounted_lines) filter (where not matched), 0) as bigint) as unmatched_discounted_lines,
+               cast(sum(discounted_net * 100) filter (where matched) as hugeint) as net_cents,
+               sum({_same_mix("full_net")}) filter (where matched) as full_net,
+               sum(discounted_quantity) filter (where matched) as quantity,
+               sum({_same_mix("full_quantity")}) filter (where matched) as full_quantity
+        from (
+            select *, discounted_lines > 0 and full_lines > 0 as matched
+            from (
+                select restaurant_id, item_category, item_name,
+                       count(*) filter (where has_discount) as discounted_lines,
+                       count(*) filter (where not has_discount) as full_lines,
+                       coalesce(sum(net_line_revenue) filter (where has_discount), 0) as discounted_net,
+                       coalesce(sum(net_line_revenue) filter (where not has_discount), 0) as full_net,
+                       coalesce(sum(item_quantity) filter (where has_discount), 0) as discounted_quantity,
+                       coalesce(sum(item_quantity) filter (where not has_discount), 0) as full_quantity
+                from lines group by restaurant_id, item_category, item_name
+            )
+        )
+        group by rollup (item_category)
+    )
+)
+"""
+
 ORACLES: dict[str, str] = {name: statement(final) for name, final in FINALS.items()}

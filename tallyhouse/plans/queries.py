@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.measures import money_sum, rows
 from tallyhouse.functions.names import normalize_column_names
-from tallyhouse.operators import checks, customers, gold, profile, reports, sales, silver
+from tallyhouse.operators import checks, customers, gold, profile, reports, sales, silver, trends
 from tallyhouse.plans import layers as layered
 from tallyhouse.plans.profiling import profile_run
 from tallyhouse.session import configure
@@ -276,6 +276,19 @@ def _profile_run(f: Frames) -> DataFrame:
     )
 
 
+# --- further metrics -------------------------------------------------------------
+
+
+def _loyalty_days(f: Frames) -> DataFrame:
+    """Customers per day from their bitmaps."""
+    days = trends.loyalty_days(f.written_orders)
+    return days.groupBy("is_member", "cohort_month", "order_date").agg(
+        F.sum(F.bitmap_count("customers")).alias("customers"),
+        F.sum("order_count").alias("order_count"),
+        money_sum("net_revenue"),
+    )
+
+
 # --- gates ---------------------------------------------------------------------
 
 
@@ -412,6 +425,13 @@ QUERIES: dict[str, Query] = {
     "option_sales_summary": _plain(lambda f: sales.option_sales_summary(f.option_sales)),
     "top_option_by_revenue": _plain(lambda f: sales.top_option_by_revenue(f.option_sales)),
     "top_option_by_quantity": _plain(lambda f: sales.top_option_by_quantity(f.option_sales)),
+    # further metrics
+    "sales_trends": _plain(lambda f: trends.sales_trends(f.lines, f.dates)),
+    "churn_risk": _plain(lambda f: trends.churn_risk(f.written_orders)),
+    "location_ranking": _plain(lambda f: trends.location_ranking(f.orders)),
+    "loyalty_days": _plain(_loyalty_days),
+    "loyalty_cohorts": _plain(lambda f: trends.loyalty_cohorts(trends.loyalty_days(f.written_orders))),
+    "discount_effectiveness": _plain(lambda f: trends.discount_effectiveness(f.lines)),
     # reports
     **{
         name: _plain(lambda f, name=name, mart=spec.mart: reports.report(name, f.mart(mart)))
