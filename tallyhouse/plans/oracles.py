@@ -1074,10 +1074,10 @@ select '{file}' as file, '{"|".join(keys)}' as candidate_key,
        case when duplicate_key_count = 0 and null_key_rows = 0 then 'PASS' else 'WARN' end as status,
        row_count, unique_key_count, duplicate_key_count, null_key_rows,
        {ratio} as uniqueness_ratio,
-       case when duplicate_key_count = 0 and null_key_rows = 0 then 'Expected key is unique and complete'
+       case when duplicate_key_count = 0 and null_key_rows = 0 then 'Every row has a key of its own'
             else concat_ws('; ',
-                case when duplicate_key_count > 0 then format('{{:,}}', duplicate_key_count) || ' duplicate key rows' end,
-                case when null_key_rows > 0 then format('{{:,}}', null_key_rows) || ' rows with null key component' end)
+                case when duplicate_key_count > 0 then format('{{:,}}', duplicate_key_count) || ' rows repeat a key' end,
+                case when null_key_rows > 0 then format('{{:,}}', null_key_rows) || ' rows lack a part of the key' end)
        end as notes
 from (
     select cast(sum(copies) as bigint) as row_count, count(*) as unique_key_count,
@@ -1124,21 +1124,21 @@ def _numeric_row(file: str, column: str) -> str:
         f"numeric_{column}",
         f"count(*) filter (where {column} is not null and try_cast({column} as double) is null)",
         _zero("PASS", "FAIL"),
-        _zero("All non-null values are numeric", "Some non-null values could not be coerced to numeric"),
+        _zero("Every value present is a number", "There are values that do not read as a number"),
     )
 
 
 def _non_positive_rows(file: str, column: str, allow_negative: bool = False) -> list[str]:
-    note = f"Rows where {column} is negative"
+    note = f"{column} below zero"
     if allow_negative:
-        note += ". Negative values may be expected for discounts."
+        note += "; discounts are written that way"
     return [
         _check_row(
             file,
             f"zero_{column}",
             f"count(*) filter (where {column} = 0)",
             _zero("PASS", "WARN"),
-            f"'Rows where {column} is zero'",
+            f"'{column} equal to zero'",
         ),
         _check_row(
             file,
@@ -1169,7 +1169,7 @@ _MISSING = [
         f"missing_{column}",
         f"count(*) filter (where {column} is null)",
         _zero("PASS", "WARN"),
-        f"'Rows where {column} is missing'",
+        f"'{column} without a value'",
     )
     for column in ("user_id", "restaurant_id", "order_id", "lineitem_id", "creation_time_utc")
 ]
@@ -1178,12 +1178,12 @@ _TIMESTAMP = _check_row(
     "valid_creation_time_utc",
     "count(*) filter (where creation_time_utc is null)",
     _zero("PASS", "WARN"),
-    "'Rows with invalid or missing timestamps'",
+    "'Timestamps absent or unreadable'",
 )
 _RANGE = f"""
 select '{_ITEMS_FILE}' as file, 'order_date_range' as check_name, 'INFO' as status,
        count(creation_time_utc) as affected_rows,
-       'Date range: ' || strftime(min(creation_time_utc), '%Y-%m-%d %H:%M:%S') || '+00:00 to '
+       'From ' || strftime(min(creation_time_utc), '%Y-%m-%d %H:%M:%S') || '+00:00 to '
            || strftime(max(creation_time_utc), '%Y-%m-%d %H:%M:%S') || '+00:00' as notes
 from raw_items
 """
@@ -1206,14 +1206,14 @@ _DISCOUNT = _check_row(
     "discount_option_rows",
     "count(*) filter (where option_price < 0)",
     _zero("WARN", "INFO"),
-    "'Rows where option_price < 0. These likely represent discounts/promotions.'",
+    "'Options priced below zero, which lower the bill'",
 )
 _DATE_KEY = """
 select 'date_dim.csv' as file, 'valid_date_key' as check_name,
        case when invalid + repeated = 0 then 'PASS' else 'WARN' end as status,
        invalid + repeated as affected_rows,
-       'Invalid date_key rows: ' || format('{:,}', invalid)
-           || '; duplicate date_key rows: ' || format('{:,}', repeated) as notes
+       'Rows with an unreadable date_key: ' || format('{:,}', invalid)
+           || '; rows that repeat one: ' || format('{:,}', repeated) as notes
 from (
     select count(*) filter (where try_strptime(date_key, '%d-%m-%Y') is null) as invalid,
            count(*) - count(distinct date_key) as repeated
@@ -1244,8 +1244,8 @@ select 'order_item_options -> order_items' as relationship, 'order_id|lineitem_i
        case when unmatched_rows = 0 then 'PASS' else 'WARN' end as status,
        left_rows, left_rows - unmatched_rows as matched_rows, unmatched_rows,
        {pct("unmatched_rows", "left_rows", 4)} as unmatched_pct,
-       case when unmatched_rows = 0 then 'Every option row maps to an order item'
-            else 'Some option rows do not map to an order item' end as notes
+       case when unmatched_rows = 0 then 'All option rows belong to an order line'
+            else 'There are option rows without an order line' end as notes
 from (
     select count(*) as left_rows, count(*) filter (where k.hit is null) as unmatched_rows
     from raw_options o
@@ -1259,8 +1259,8 @@ select 'order_items order_date -> date_dim' as relationship,
        case when unmatched_rows = 0 and invalid = 0 then 'PASS' else 'WARN' end as status,
        left_rows, checked - unmatched_rows as matched_rows, unmatched_rows,
        {pct("unmatched_rows", "checked", 4)} as unmatched_pct,
-       'Invalid timestamps: ' || format('{{:,}}', invalid)
-           || '; unmatched valid dates: ' || format('{{:,}}', unmatched_rows) as notes
+       'Lines without a readable time: ' || format('{{:,}}', invalid)
+           || '; lines on days outside the calendar: ' || format('{{:,}}', unmatched_rows) as notes
 from (
     select count(*) as left_rows, count(creation_time_utc) as checked,
            count(*) - count(creation_time_utc) as invalid,

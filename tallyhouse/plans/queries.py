@@ -226,12 +226,14 @@ def _write_report(f: Frames) -> DataFrame:
 
 def _register(f: Frames, datasets: dict[str, DataFrame]) -> str:
     database = f"orders_{f.path('db').rsplit('-', 1)[1]}"
-    root, bases = f.path("tables"), {}
+    root = f.path("tables")
+    bases = {name: f"{root}/{name}" for name in datasets}
     for name, df in datasets.items():
-        bases[name] = f"{root}/{name}"
-        for date in (RUN_DATE, OTHER_DATE):
-            write_layer(df, bases[name], date)
+        write_layer(df, bases[name], OTHER_DATE)
     catalog.register_tables(f.spark, database, bases, location=f"{root}/database")
+    for name, df in datasets.items():
+        write_layer(df, bases[name], RUN_DATE)
+    catalog.add_date(f.spark, database, bases, RUN_DATE)
     return database
 
 

@@ -167,8 +167,10 @@ def test_tables_report_one_date(spark, tmp_path):
     write_layer(mart, base, "2023-01-01")
     catalog.register_tables(spark, "tallyhouse_test", {"item_sales": base})
     assert [row[0] for row in catalog.show_tables(spark, "tallyhouse_test").collect()] == ["item_sales"]
-    # a date written later is found when the table is registered again
+    # a date written later is added, or found when the table is registered again
     write_layer(mart.unionByName(mart), base, "2023-01-02")
+    catalog.add_date(spark, "tallyhouse_test", ["item_sales"], "2023-01-02")
+    assert reports.report_on_tables(spark, "tallyhouse_test", "top_items", "2023-01-02").count() == 2
     catalog.register_tables(spark, "tallyhouse_test", {"item_sales": base})
     assert reports.report_on_tables(spark, "tallyhouse_test", "top_items", "2023-01-01").count() == 1
     assert reports.report_on_tables(spark, "tallyhouse_test", "top_items", "2023-01-02").count() == 2
