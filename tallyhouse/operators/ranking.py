@@ -2,29 +2,29 @@
 
 ``ntile`` over an unpartitioned window sends every row to a single task. Bucket
 membership, however, only depends on the rows standing at the bucket ends. Each
-row gets a text key that sorts like its ranking columns; the keys at the bucket
-ends are found by counting rows per key prefix, a few characters further with
-each pass, and every row is then labelled by comparing its key with them. No row
-is shuffled, ties and hot values cost nothing extra, and the driver sees only
-prefix counts, whose number is bounded by the alphabet of the keys.
+row gets a text key that sorts like its ranking columns. A sample of keys brackets each
+bucket end; the next pass counts the rows below and within the bracket exactly and samples
+within it, or reads it whole once it is small enough. Every row is then labelled by comparing its key with
+the keys found. No row is shuffled, ties and hot values cost nothing extra, and the driver sees samples of
+bounded size. Up to some 100,000 rows take two passes, up to some 10,000,000 three, whatever the keys' width.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from os.path import commonprefix
+from math import sqrt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegralType, StringType
 
 from tallyhouse.sources.scratch import stage
 
-# Characters resolved per pass: at most 17 ** 3 prefix counts per bucket end.
-STEP = 3
-# Sorts after every character of a key.
-LAST = "~"
+# Keys of a ranking that one pass may bring to the driver for each bucket end.
+SAMPLE = 20_000
+# Deviations of a sampled rank that a bracket allows for; a miss is seen by the counts and costs a pass.
+SPREAD = 6.0
 
 
 def sort_key(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -59,72 +59,78 @@ def bucket_ends(row_count: int, buckets: int) -> list[int]:
 
 @dataclass
 class _Search:
-    """The key at one position of one ranking, known up to a prefix."""
+    """The key at one position of one ranking: above ``low``, not above ``high``, perhaps ``guess``."""
 
     ranking: str
-    position: int  # within the rows that share the prefix
+    position: int
     row_count: int
-    prefix: str
+    sample: int
+    expected: float  # rows within the bracket, as far as is known
+    low: str | None = None
+    high: str | None = None
+    guess: str | None = None
     key: str | None = None
 
-
-def _narrow(keyed: DataFrame, searches: list[_Search], step: int) -> None:
-    """One pass: extend the prefix of every search by counting rows per longer prefix."""
-    targets = sorted({(search.ranking, search.prefix) for search in searches})
-    hits = [
-        F.when(
-            F.col(ranking).startswith(prefix),
-            F.struct(
-                F.lit(number).alias("target"),
-                F.substring(ranking, 1, len(prefix) + step).alias("longer"),
-            ),
+    def within(self) -> Column:
+        key, inside = F.col(self.ranking), F.lit(True)
+        if self.low is not None:
+            inside = inside & (key > self.low)
+        return inside if self.high is None else inside & (key <= self.high)
+
+    def measures(self) -> Column:
+        """What a pass finds out: exact counts, and keys within the bracket."""
+        key, inside = F.col(self.ranking), self.within()
+        drawn = inside & (F.col("_chance") < min(1.0, self.sample / max(self.expected, 1.0)))
+        return F.struct(
+            F.count_if(key <= F.lit(self.low)).alias("below"),
+            F.count_if(inside).alias("inside"),
+            F.count_if(key < F.lit(self.guess)).alias("under_guess"),
+            F.count_if(key == F.lit(self.guess)).alias("at_guess"),
+            F.collect_list(F.when(drawn, key)).alias("drawn"),
         )
-        for number, (ranking, prefix) in enumerate(targets)
-    ]
-    counted = (
-        keyed.select(F.inline(F.array_compact(F.array(*hits))))
-        .groupBy("target", "longer")
-        .count()
-        .collect()
-    )
-    for search in searches:
-        target = targets.index((search.ranking, search.prefix))
-        before = 0
-        for longer, count in sorted((r["longer"], r["count"]) for r in counted if r["target"] == target):
-            if search.position <= before + count:
-                if len(longer) < len(search.prefix) + step:
-                    search.key = longer  # the key ends here: all these rows share it
-                search.prefix = longer
-                search.position -= before
-                search.row_count = count
-                if search.key is None and search.position == count:
-                    search.key = longer + LAST  # the bucket ends with the last row of this prefix
-                break
-            before += count
-
-
-def _end_keys(
-    keyed: DataFrame, rankings: Sequence[str], buckets: int, step: int
-) -> dict[str, list[str]]:
-    spans = keyed.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.min(name).alias(f"low_{name}") for name in rankings],
-        *[F.max(name).alias(f"high_{name}") for name in rankings],
-    ).first()
-    row_count = spans["row_count"]
+
+    def narrow(self, found: Row) -> None:
+        """Settle the key or tighten the bracket by what a pass found."""
+        if found["under_guess"] < self.position <= found["under_guess"] + found["at_guess"]:
+            self.key = self.guess
+            return
+        place, inside, drawn = self.position - found["below"], found["inside"], sorted(found["drawn"])
+        if not 0 < place <= inside:  # the sample misled: open the side the position lies on
+            self.low, self.high = (None, self.high) if place <= 0 else (self.low, None)
+            self.expected = self.row_count
+        elif len(drawn) == inside:
+            self.key = drawn[place - 1]
+        else:
+            share = place / inside
+            rank, margin = share * len(drawn), SPREAD * sqrt(len(drawn) * share * (1 - share)) + 2
+            first, last = int(rank - margin) - 1, int(rank + margin) + 1
+            before = self.low, self.high
+            if first >= 0:
+                self.low = drawn[first]
+            if last < len(drawn):
+                self.high = drawn[last]
+            self.guess = drawn[min(int(rank), len(drawn) - 1)] if drawn else None
+            if (self.low, self.high) == before:
+                self.sample *= 2
+            span = min(last, len(drawn)) - max(first, 0)
+            self.expected = 1.2 * inside * span / len(drawn) if drawn else inside
+
+
+def _end_keys(keyed: DataFrame, rankings: Sequence[str], buckets: int, sample: int) -> dict[str, list[str]]:
+    row_count = keyed.count()
     searches = [
-        _Search(
-            ranking=name,
-            position=position,
-            row_count=row_count,
-            prefix=commonprefix([spans[f"low_{name}"] or "", spans[f"high_{name}"] or ""]),
-            key=None if position else "",  # nothing stands before an empty bucket's end
-        )
+        # nothing stands before an empty bucket's end
+        _Search(name, position, row_count, sample, row_count, key=None if position else "")
         for name in rankings
         for position in bucket_ends(row_count, buckets)
     ]
+    number = 0
     while open_searches := [s for s in searches if s.key is None]:
-        _narrow(keyed, open_searches, step)
+        number += 1
+        chanced = keyed.withColumn("_chance", F.rand(number))
+        found = chanced.agg(*[s.measures().alias(f"s{n}") for n, s in enumerate(open_searches)]).first()
+        for search, result in zip(open_searches, found, strict=True):
+            search.narrow(result)
     return {name: [s.key for s in searches if s.ranking == name] for name in rankings}
 
 
@@ -133,7 +139,7 @@ def with_ntiles(
     rankings: Mapping[str, Sequence[str]],
     buckets: int = 4,
     *,
-    step: int = STEP,
+    sample: int = SAMPLE,
 ) -> DataFrame:
     """Add one bucket column per ranking: ``{column: ranking columns}``.
 
@@ -144,7 +150,7 @@ def with_ntiles(
     """
     keys = {f"_key_{n}": sort_key(staged, columns) for n, columns in enumerate(rankings.values())}
     keyed = staged.select(*[key.alias(name) for name, key in keys.items()])
-    ends = _end_keys(keyed, list(keys), buckets, step)
+    ends = _end_keys(keyed, list(keys), buckets, sample)
     labels = {}
     for column, (name, key) in zip(rankings, keys.items(), strict=True):
         label = F.lit(1)

@@ -45,12 +45,12 @@ def random_rows(count, seed):
 
 
 @pytest.mark.parametrize("count", [0, 1, 2, 3, 4, 5, 6, 7, 101])
-@pytest.mark.parametrize("step", [1, 2, 3])
-def test_same_as_ntile(spark, count, step):
+@pytest.mark.parametrize("sample", [3, 20, 20_000])
+def test_same_as_ntile(spark, count, sample):
     rows = random_rows(count, seed=count)
     df = spark.createDataFrame(rows, SCHEMA)
     rankings = {"by_amount": ["amount", "name"], "by_count": ["count", "day", "name"]}
-    result = with_ntiles(df, rankings, step=step).collect()
+    result = with_ntiles(df, rankings, sample=sample).collect()
     got = {column: {row["id"]: row[column] for row in result} for column in rankings}
     expected = {
         "by_amount": python_buckets(rows, lambda r: (nulls_first(r[1]), r[4].encode())),
@@ -62,23 +62,39 @@ def test_same_as_ntile(spark, count, step):
     assert got == expected
 
 
-def test_same_as_ntile_with_heavy_ties_and_small_steps(spark):
-    """A third of the rows hold one value, as do all their leading key digits."""
+@pytest.mark.parametrize("sample", [40, 20_000])
+def test_same_as_ntile_with_heavy_ties(spark, sample):
+    """A third of the rows hold one value."""
     df = spark.range(9_000).select(
         F.col("id").cast("int").alias("id"),
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 11).cast("bigint").alias("count"),
         F.concat(F.lit("user-"), F.col("id").cast("string")).alias("name"),
     )
     staged = stage(df, "ties")
-    ranked = with_ntiles(staged, {"quartile": ["count", "name"]})
+    ranked = with_ntiles(staged, {"quartile": ["count", "name"]}, sample=sample)
     window = Window.orderBy("count", "name")
     assert ranked.withColumn("plain", F.ntile(4).over(window)).where("plain <> quartile").count() == 0
     assert [row["count"] for row in ranked.groupBy("quartile").count().collect()] == [2250] * 4
 
 
+def test_three_passes_at_most_whatever_the_keys(spark, monkeypatch):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.hash("id") % 1000).cast("bigint").alias("count"),
+        F.concat(F.lit("a name that is long and the same for all rows "), F.col("id").cast("string")).alias("name"),
+    )
+    staged, passes = stage(df, "wide"), []
+    agg = type(staged).agg
+    monkeypatch.setattr(type(staged), "agg", lambda self, *columns: passes.append(1) or agg(self, *columns))
+    ranked = with_ntiles(staged, {"quartile": ["count", "name"], "by_name": ["name"]}, sample=2_000)
+    assert len(passes) <= 3
+    monkeypatch.undo()
+    plain = ranked.withColumn("plain", F.ntile(4).over(Window.orderBy("count", "name"))).withColumn("other", F.ntile(4).over(Window.orderBy("name")))
+    assert plain.where("plain <> quartile or other <> by_name").count() == 0
+
+
 def test_rows_equal_in_all_ranking_columns_share_a_bucket(spark):
     df = spark.createDataFrame([(n, None, 1, None, "same") for n in range(8)], SCHEMA)
-    ranked = with_ntiles(df, {"quartile": ["count", "name"]}, step=1)
+    ranked = with_ntiles(df, {"quartile": ["count", "name"]}, sample=3)
     assert {row["quartile"] for row in ranked.collect()} == {1}
 
 
