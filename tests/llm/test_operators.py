@@ -211,7 +211,7 @@ def test_every_stretch_of_a_diagonal():
 
 
 def test_licenses(spark):
-    apache = licenses.TEMPLATES["Apache-2.0"]
+    apache = licenses.TEMPLATES["Apache-2.0"][0]
     docs = frame(spark, [(20, f"x y {apache}. z"), (21, apache.replace("Apache", "the Apache Software").upper()), (22, "Licensed to nobody"), *AWKWARD])
     rows = licenses.scan(docs).collect()
     assert sorted((r["doc_id"], r["license"]) for r in rows) == [(20, "Apache-2.0"), (21, "Apache-2.0")]
@@ -220,6 +220,52 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_licenses_are_told_from_their_relatives(spark):
+    cases = {
+        "Licensed under CC BY 4.0": ["CC-BY-4.0"],
+        "Licensed under CC BY-SA 4.0": ["CC-BY-SA-4.0"],
+        "Licensed under CC BY-NC 4.0.": ["CC-BY-NC-4.0"],
+        "Licensed under CC BY-NC 3.0": [],
+        "This work is licensed under the GNU General Public License, version 2": ["GPL-2.0"],
+        "This work is licensed under the GNU General Public License, version 3": ["GPL-3.0"],
+        "This work is licensed under the GNU Affero General Public License, version 3": ["AGPL-3.0"],
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": ["CC-BY-SA-4.0"],
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": ["CC-BY-4.0"],
+        "It was not licensed under the Apache License, Version 2.0": [],
+        "SPDX-License-Identifier: MIT": ["MIT"],
+        "SPDX-License-Identifier: GPL-2.0-only": ["GPL-2.0"],
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007": ["GPL-3.0"],
+        "Released under the MIT License. Licensed under CC BY 4.0": ["MIT", "CC-BY-4.0"],
+        "Released under the MIT License\nReleased under the MIT License": ["MIT", "MIT"],
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    found = {n: [] for n in range(len(cases))}
+    for row in sorted(licenses.scan(docs).collect(), key=lambda r: (r["doc_id"], r["start_byte"])):
+        found[row["doc_id"]].append(row["license"])
+    assert dict(zip(cases, found.values(), strict=True)) == cases
+
+
+def test_short_wordings_match_whole(spark):
+    docs = spark.createDataFrame([(1, "public domain"), (2, "a public, domain!"), (3, "public"), (4, "domain public")], "doc_id long, text string")
+    rows = licenses.scan(docs, {"PD": "Public Domain", "none": ""}).collect()
+    assert sorted(r["doc_id"] for r in rows) == [1, 2]
+
+
+def test_alignment_finds_edited_notices():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        template = np.arange(100, 120, dtype=np.uint64)
+        kept, edited = 0, []
+        for place, word in enumerate(template.tolist()):
+            edit = rng.choice(["keep", "drop", "replace", "insert"], p=[0.85, 0.05, 0.05, 0.05]) if 3 < place < 16 else "keep"
+            kept += edit in ("keep", "insert")
+            edited += {"keep": [word], "drop": [], "replace": [7], "insert": [8, word]}[str(edit)]
+        before = int(rng.integers(0, 6))
+        text = np.array([1] * before + edited + [2] * 5, np.uint64)
+        matched, a, b = licenses.align(text, template, before + int(rng.integers(-2, 3)))
+        assert (matched, a, b) == (kept, before, before + len(edited))
+
+
 def test_models_without_rows_and_awkward_texts(spark):
     docs, labels = frame(spark, AWKWARD), spark.createDataFrame([], "doc_id long, toxic int, quality int")
     assert langid.fit(docs.withColumn("lang", F.lit(None).cast("string"))) is None
