@@ -9,8 +9,10 @@ one string.
 A sentence is judged by its most toxic string: labels say that a document holds a toxic
 string somewhere, not where (multiple-instance learning). Strings that toxic documents of the
 sample have far more often become positives, others negatives; in each of ``ROUNDS`` the
-machine is fitted, the strings it finds worst in clean documents join the negatives, and
-those it finds worst in toxic ones the positives. The Nyström landmarks are strings of both
+machine is fitted, the strings it finds worst in clean documents join the negatives and the landmarks, and
+those it finds worst in toxic ones the positives. Clean strings weigh more the more they look like
+toxic ones, as they say where the border runs. Texts that share their ``SKETCH`` smallest string hashes are copies and
+count once. The Nyström landmarks are strings of both
 kinds; the machine is linear in the landmark kernels after whitening with the landmarks' own kernel
 matrix. As those kernels are sums over subsequences, the decision function folds into one
 weight for each hashed subsequence, and whole texts are scored with array operations.
@@ -26,6 +28,7 @@ unless they bear a result's name, which is replaced.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,10 +43,14 @@ from pyspark.sql import types as T
 from tallyhouse.llm.tables import labelled_sample
 from tallyhouse.sources.scratch import stage
 
+log = logging.getLogger(__name__)
+
 SAMPLE_ROWS = 3_000
 LANDMARKS = 160
-ROUNDS = 3
-SURPRISE, MOST_STRINGS = 13.0, 300
+ROUNDS = 5
+SKETCH = 4  # smallest string hashes that tell copies from other texts
+ALARM = -0.5  # from this value on a clean document's worst string becomes a landmark
+SURPRISE, LEAST_SURPRISE, MOST_STRINGS = 13.0, 5.0, 300
 CUT = 0.5
 SPAN, DECAY = 5, 0.7
 # The middle and last letter of a subsequence, counted from its first.
@@ -188,7 +195,9 @@ def _machine(positives: dict[bytes, int], negatives: list[bytes], landmarks: lis
     x = kernels([*positives, *negatives], landmarks) @ whiten
     y = np.concatenate([np.ones(len(positives)), -np.ones(len(negatives))])
     heavy = np.sqrt(np.array(list(positives.values()), float))
-    weight = np.concatenate([heavy / heavy.sum() / 2, np.full(len(negatives), 0.5 / max(1, len(negatives)))])
+    # a clean string that looks like a toxic one says where the border is
+    close = kernels(negatives, landmarks).max(axis=1, initial=0.0) ** 4 * 30 + 1
+    weight = np.concatenate([heavy / heavy.sum() / 2, close / close.sum()])
     w, bias = _fit_machine(x, y, weight)
     table = np.zeros(SLOTS)
     for part, landmark in zip(whiten @ w, landmarks, strict=True):
@@ -198,11 +207,11 @@ def _machine(positives: dict[bytes, int], negatives: list[bytes], landmarks: lis
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct strings of every document, with its smallest string hash: near copies share that mostly."""
+    """Distinct strings of every document, with a sketch of its strings that near copies mostly share."""
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = sorted({s for s in plain(text).split() if len(s) > 3})
-            kin = min((crc32(s) * 0x9E3779B1 & 0xFFFFFFFF for s in found), default=0)
+            kin = crc32(b"".join(sorted(found, key=lambda s: (crc32(s) * 0x9E3779B1 & 0xFFFFFFFF, s))[:SKETCH]))
             columns = [pa.array(found, pa.binary()), pa.array([label] * len(found), pa.int32()), pa.array([kin] * len(found), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["string", "label", "kin"])
 
@@ -256,20 +265,26 @@ def fit(
         F.col("rate") * F.log(F.col("rate") / share)
         + F.when(F.col("rate") < 1, (1 - F.col("rate")) * F.log((1 - F.col("rate")) / (1 - share))).otherwise(0.0)
     )
-    marked = marked.where(F.col("rate") > share).withColumn("surprise", surprise).where(F.col("surprise") >= SURPRISE)
-    top = {bytes(r["string"]): r["toxic"] for r in marked.orderBy(F.desc("surprise"), "string").limit(MOST_STRINGS).collect()}
+    marked = marked.where(F.col("rate") > share).withColumn("surprise", surprise).where(F.col("surprise") >= LEAST_SURPRISE)
+    likely = marked.orderBy(F.desc("surprise"), "string").limit(MOST_STRINGS).collect()
+    sure = [r for r in likely if r["surprise"] >= SURPRISE] or likely  # few labels: the best there are
+    top = {bytes(r["string"]): r["toxic"] for r in sure}
     usual = seen.where((F.col("clean") >= 1) & (F.col("toxic") <= 2 + 2 * share / (1 - share) * F.col("clean")))
     frequent = [bytes(r["string"]) for r in usual.orderBy(F.desc("clean"), "string").limit(MOST_STRINGS * 5).collect()]
     rare = [bytes(r["string"]) for r in usual.orderBy(F.xxhash64("string"), "string").limit(MOST_STRINGS * 5).collect()]
     negatives, positives = sorted(set(frequent) | set(rare)), dict(top)
     if not positives or not negatives:
+        log.warning("no string tells toxic documents from clean ones: nothing can be learned, all rows will count as clean")
         return None
     landmarks = _spread_out(list(top), LANDMARKS * 3 // 4) + _spread_out(frequent[:400], LANDMARKS // 4)
-    model, rows = None, []
+    model, rows, alarms = None, [], []
     for _ in range(ROUNDS):
+        landmarks += [a for a in alarms if a not in landmarks][: LANDMARKS // 4]
         model = _machine(positives, negatives, landmarks)
         rows = _judged(sample, model)
         clean_strings = {s for y, _, s in rows if y == 0}
+        worst_first = sorted((-v, s) for y, v, s in rows if y == 0 and v > ALARM)
+        alarms = list(dict.fromkeys(s for _, s in worst_first))
         line = max(0.0, float(np.quantile([v for y, v, _ in rows if y == 0], 0.99)))
         negatives = sorted(set(negatives) | clean_strings - set(top))
         positives = top | {s: 1 for y, v, s in rows if y == 1 and v > line and s not in top and s not in clean_strings}
