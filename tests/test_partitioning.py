@@ -3,7 +3,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.plans.queries import QUERIES, Frames
+from tallyhouse.plans.queries import Frames
 
 LARGE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 SPLIT = LARGE | {
@@ -72,11 +72,10 @@ def test_orders_are_built_where_their_lines_met_the_order(spark, tmp_path):
 def test_a_hot_order_is_split_and_counted_whole(spark, tmp_path, hot):
     """A third of all lines share one order id, or have none."""
     folder = tables(spark, tmp_path, F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(10 + F.col("id")), lines=30_000)
+    frames = Frames(spark, folder)  # sets the session up; the settings below must hold afterwards
     with settings(spark, SPLIT):
-        orders = QUERIES["fact_order"](spark, folder)
-        rows = orders.orderBy(F.desc("line_item_count")).collect()
+        rows = frames.orders.orderBy(F.desc("line_item_count")).collect()
         assert len(rows) == 20_001
         assert (rows[0]["line_item_count"], rows[0]["distinct_line_item_count"]) == (10_000, 10_000)
-        kept = Frames(spark, folder).orders
-        kept.collect()
-        assert "skew=true" in plan_of(kept)
+        frames.orders.collect()
+        assert "skew=true" in plan_of(frames.orders)
