@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.casts import MONEY
 from tallyhouse.functions.measures import money_sum, money_total
 from tallyhouse.operators import checks, gold, sales, silver
+from tallyhouse.plans import queries
 from tallyhouse.plans.queries import MART_COLUMNS, Frames
+from tallyhouse.sources.scratch import stage
 from tests.support import samples
 from tests.support.samples import one
 from tests.test_partitioning import plan_of, tables
@@ -64,3 +66,27 @@ def test_tables_staged_for_marts_hold_what_is_read(spark, tmp_path):
     for name in ("item_sales", "daily_sales", "option_sales", "customer_clv_snapshot"):
         assert sorted(map(str, shared.mart(name).collect())) == sorted(map(str, whole.mart(name).collect()))
     assert {"printed_card_number", "currency"} <= set(whole.orders.columns)
+
+
+@pytest.mark.parametrize("query", ["show_tables", "gate_report", "reconcile_marts"])
+def test_what_several_marts_are_built_from_is_built_once(spark, tmp_path, monkeypatch, query):
+    """Options are rolled up once for both facts, and customers ranked once for snapshot and segments."""
+    folder = tables(spark, tmp_path, F.col("id") / 4, lines=400)
+    calls = []
+    for module, name in ((queries.gold, "options_by_lineitem"), (queries.customers, "customer_latest_row")):
+        build = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, build=build, name=name: calls.append(name) or build(df))
+    staged = []
+    monkeypatch.setattr(queries, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    assert queries.QUERIES[query](spark, folder).count() > 0
+    assert sorted(calls) == ["customer_latest_row", "options_by_lineitem"]
+    assert {"options_by_lineitem", "customer_clv_snapshot"} <= set(staged)
+    assert len(staged) == len(set(staged))
+
+
+def test_a_snapshot_from_staged_customer_days_is_the_same(spark, tmp_path):
+    folder = tables(spark, tmp_path, F.col("id") / 4, lines=400)
+    shared, whole = Frames(spark, folder, shared=(*queries.SHARED, "customer_daily_clv")), Frames(spark, folder)
+    for name in ("customer_daily_clv", "customer_clv_snapshot", "customer_rfm"):
+        assert shared.mart(name).schema.simpleString() == whole.mart(name).schema.simpleString()
+        assert sorted(map(str, shared.mart(name).collect())) == sorted(map(str, whole.mart(name).collect()))
