@@ -125,6 +125,19 @@ def test_cohorts_come_back_and_days_merge(spark):
     assert trends.loyalty_cohorts(trends.loyalty_days(orders(spark))).count() == 0
 
 
+def test_bitmaps_are_built_where_customers_met(spark):
+    """Rows of single customers move, not a bitmap of 4 kB for each task's share of them."""
+    rows = [(f"u{n % 300}", date(2023, 1, 1 + n % 4), "1.50", "R1", n % 3 == 0) for n in range(1_200)]
+    days = trends.loyalty_days(orders(spark, *rows).repartition(8))
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("bitmap_construct_agg") < plan.index("Exchange"), plan
+    got = days.select("*", F.bitmap_count("customers").alias("n")).collect()
+    assert len({(r["is_member"], r["cohort_month"], r["order_date"], r["bucket"]) for r in got}) == len(got)
+    assert len({(r["is_member"], r["order_date"]) for r in got}) == 8
+    assert sum(r["n"] for r in got) == 300
+    assert sum(r["order_count"] for r in got) == 1_200 and sum(r["net_revenue"] for r in got) == Decimal("1800.00")
+
+
 def test_discounts_are_compared_within_item_and_location(spark):
     items = [{"lineitem_id": f"d{n}", "item_name": "cheap", "item_price": "10.00"} for n in range(2)]
     items += [{"lineitem_id": f"f{n}", "item_name": "cheap", "item_price": "10.00"} for n in range(4)]
