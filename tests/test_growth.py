@@ -11,6 +11,7 @@ from tallyhouse.operators.profile import ITEMS, OPTIONS
 from tallyhouse.plans import queries
 from tallyhouse.plans.layers import run_layers
 from tallyhouse.plans.profiling import profile_run
+from tallyhouse.session import FREE_EXCHANGES
 from tallyhouse.sources.scratch import stage
 from tests.support import samples
 from tests.test_layers import sources
@@ -76,6 +77,9 @@ def test_what_a_run_exchanged_is_gone_when_it_ends(spark, tmp_path):
     before = shuffle_files(spark)
     run_layers(spark, sources(spark), str(tmp_path), "2023-05-01")
     assert not shuffle_files(spark) - before
+    # outside such a run nothing goes early: rows that are read bit by bit are exchanged while they are read
+    assert spark.conf.get(FREE_EXCHANGES) == "false"
+    assert [r["id"] for r in spark.range(0, 50, 1, 5).orderBy(F.desc("id")).toLocalIterator()] == list(range(49, -1, -1))
 
 
 def test_layers_are_packed_densely(spark, tmp_path):
